@@ -169,7 +169,7 @@ def features(word: str) -> tuple[str, ...]:
     for m in _RUN.finditer(core[:200]):  # a shape of more characters is no shape of the table; its digits are counted below
         c = m.group()
         if c[0].isdigit() and c.isascii():
-            exact.append(f"d{len(c)}" if len(c) <= 4 else "d+")
+            exact.append(f"d{min(len(c), 20)}")
             loose.append("d")
         elif c.isalpha():
             exact.append("x")
@@ -215,15 +215,15 @@ class Field:
         rows, steps_of, width = len(table), max(len(w) for w, _ in table), len(LABELS)
         lengths = np.array([len(w) for w, _ in table])
         gold = np.zeros((rows, steps_of), dtype=np.int64)
-        where, which = [], []
+        kinds: dict[tuple, int] = {}  # words of the same features count together
+        kind = np.zeros((rows, steps_of), dtype=np.int64)
         for r, (words, labels) in enumerate(table):
             for t, (w, y) in enumerate(zip(words, labels, strict=True)):
                 gold[r, t] = LABELS.index(y)
-                for f in features(w):
-                    where.append(r * steps_of + t)
-                    which.append(at[f])
-        present = np.zeros((rows * steps_of, len(names)))
-        present[where, which] = 1
+                kind[r, t] = kinds.setdefault(features(w), len(kinds))
+        present = np.zeros((len(kinds), len(names)))
+        for own, k in kinds.items():
+            present[k, [at[f] for f in own]] = 1
         mask = np.arange(steps_of)[None, :] < lengths[:, None]
         theta = np.zeros((len(names) + width, width))
         theta[at["plain"], 1:] = NEVER  # held there: a word without digits or an at sign is no personal data
@@ -242,7 +242,7 @@ class Field:
 
         for step in range(1, steps + 1):
             w, moves = theta[: len(names)], theta[len(names) :]
-            emit = (present @ w).reshape(rows, steps_of, width)
+            emit = (present @ w)[kind]
             ahead, back = np.zeros_like(emit), np.zeros_like(emit)
             ahead[:, 0] = emit[:, 0]
             for t in range(1, steps_of):
@@ -254,7 +254,8 @@ class Field:
             z = total(ahead[:, -1], 1)
             chance = np.exp(ahead + back - z[:, None, None]) * mask[:, :, None]
             grad = np.zeros_like(theta)
-            grad[: len(names)] = present.T @ (seen - chance).reshape(-1, width)
+            by_kind = [np.bincount(kind.ravel(), (seen - chance)[:, :, y].ravel(), len(kinds)) for y in range(width)]
+            grad[: len(names)] = present.T @ np.stack(by_kind, axis=1)
             joint = np.exp(ahead[:, :-1][:, :, :, None] + moves[None, None] + (emit[:, 1:] + back[:, 1:])[:, :, None, :] - z[:, None, None, None]) * both[:, :, None, None]
             grad[len(names) :] = pairs - joint.sum(axis=(0, 1))
             grad = grad / rows - decay * theta
