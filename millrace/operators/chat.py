@@ -157,8 +157,8 @@ def transcript(text: Column) -> Column:
 def transcript_pairs(df: DataFrame, system: str = SYSTEM) -> DataFrame:
     """df(chosen, rejected texts) as (prompt, chosen, rejected messages); rows that do not parse or agree are left out."""
     df = df.withColumn("_c", transcript(T.text_or_empty("chosen"))).withColumn("_r", transcript(T.text_or_empty("rejected"))).where("size(_c) >= 2 and size(_r) >= 1")
-    turns = F.transform(F.slice("_c", 1, F.size("_c") - 1), lambda t, i: F.struct(F.when(i % 2 == 0, "user").otherwise("assistant").alias("role"), t.alias("content")))
-    return _pairs(df, F.concat(F.array(message("system", F.lit(system))), turns), F.element_at("_c", -1), F.element_at("_r", -1), "transcript")
+    turns = F.transform(F.slice("_c", F.lit(1), F.greatest(F.size("_c") - 1, F.lit(0))), lambda t, i: F.struct(F.when(i % 2 == 0, "user").otherwise("assistant").alias("role"), t.alias("content")))
+    return _pairs(df, F.concat(F.array(message("system", F.lit(system))), turns), F.try_element_at("_c", F.lit(-1)), F.try_element_at("_r", F.lit(-1)), "transcript")
 
 
 def question_pairs(df: DataFrame, default: str = SYSTEM) -> DataFrame:
@@ -171,9 +171,9 @@ def question_pairs(df: DataFrame, default: str = SYSTEM) -> DataFrame:
 
 def message_pairs(df: DataFrame, default: str = SYSTEM) -> DataFrame:
     """df(chosen, rejected as message arrays): the last turns are the answers; the first system and all user turns the prompt."""
-    last = lambda c: F.element_at(c, -1)
+    last = lambda c: F.try_element_at(c, F.lit(-1))
     df = df.where("size(chosen) >= 2 and size(rejected) >= 1").where((last("chosen")["role"] == "assistant") & (last("rejected")["role"] == "assistant"))
-    ahead = F.slice("chosen", 1, F.size("chosen") - 1)
+    ahead = F.slice("chosen", F.lit(1), F.greatest(F.size("chosen") - 1, F.lit(0)))
     of = lambda role: F.transform(F.filter(ahead, lambda m: m["role"] == role), lambda m: T.strip(F.coalesce(m["content"], F.lit(""))))
     system = F.coalesce(F.nullif(F.try_element_at(of("system"), F.lit(1)), F.lit("")), F.lit(default))
     question = F.array_join(F.filter(of("user"), lambda t: t != ""), "\n\n")

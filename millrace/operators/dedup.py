@@ -18,7 +18,7 @@ from millrace.functions import text as T
 BANDS, ROWS, GRAM = 14, 8, 5
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
     """df written to the shared checkpoint folder and read back; a local folder only where none is set."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -95,7 +95,7 @@ def star_edges(sig: DataFrame) -> DataFrame:
 
 def clusters(edges: DataFrame) -> DataFrame:
     """(doc_id, cluster): least reachable id, by alternating large and small stars until nothing changes."""
-    edges = _cut(edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
+    edges = cut(edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -103,7 +103,7 @@ def clusters(edges: DataFrame) -> DataFrame:
         big = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = big.groupBy("u").agg(F.min("v").alias("m"))
         moved = big.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = _cut(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        edges = cut(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         now = edges.agg(F.count("*"), F.sum("u"), F.sum("v")).first()
         if now == state:
             break
@@ -114,7 +114,7 @@ def clusters(edges: DataFrame) -> DataFrame:
 def fuzzy_survivors(docs: DataFrame, bypass: tuple[str, ...] = ("synthetic_arithmetic",)) -> DataFrame:
     """(doc_id, source, cluster, kept): the least id of each cluster within a source is kept."""
     skip = F.coalesce(F.col("source").isin(*bypass), F.lit(False)) if bypass else F.lit(False)
-    found = clusters(star_edges(signatures(docs.where(~skip))))
+    found = clusters(star_edges(cut(signatures(docs.where(~skip)))))
     return docs.select("doc_id", "source").join(found, "doc_id", "left").select("doc_id", "source", F.coalesce("cluster", "doc_id").alias("cluster")).withColumn("kept", F.col("cluster") == F.col("doc_id"))
 
 

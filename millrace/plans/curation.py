@@ -14,9 +14,11 @@ from millrace.streaming import curation as streaming
 
 def curate(docs: DataFrame, targets: DataFrame, sink: str) -> DataFrame:
     """Curated documents with their split: quality, exact and near dedup, budget, overflow, exact-size validation split."""
-    kept = dedup.dedup(quality.quality_filter(docs.select("doc_id", "source", "text")))
-    chosen = blend.blend(blend.chars(kept), targets, sink).where("kept or overflow").select("doc_id")
-    return blend.split(kept.join(chosen, "doc_id", "left_semi"))
+    rows = docs.select("doc_id", "source", "text")
+    # Ids and lengths are cut to the shared folder; the texts are read again at the end, not shuffled from step to step.
+    kept = dedup.cut(blend.chars(dedup.dedup(quality.quality_filter(rows))))
+    chosen = blend.split(blend.blend(kept, targets, sink).where("kept or overflow").select("doc_id"))
+    return rows.join(chosen, "doc_id")
 
 
 def validated(docs: DataFrame, threshold: float | None = None) -> DataFrame:
@@ -32,7 +34,7 @@ def funnel(docs: DataFrame) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, path: str) -> DataFrame:
-    """(hash, doc_id): what a stream over the files of path leaves in a table."""
+    """(hash, doc_id): what a stream over the files of path (a file or a folder) leaves in a table."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         import tempfile
@@ -41,7 +43,7 @@ def stream_dedup(spark: SparkSession, path: str) -> DataFrame:
         spark.sparkContext.setCheckpointDir(base)
     base = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
     schema = spark.read.parquet(path).schema
-    streaming.dedup_into(spark.readStream.schema(schema).parquet(path), f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    streaming.dedup_into(spark.readStream.schema(schema).parquet(f"{path}*"), f"{base}/table", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/table").select("hash", "doc_id")
 
 
