@@ -52,7 +52,9 @@ def ngrams(w: Column, n: int) -> Column:
 
 
 def _ngrams(w: Column, n: int) -> Column:
-    return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    """By single elements: a slice would walk the whole array for each run."""
+    runs = F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.concat_ws(" ", *(F.get(w, i + k) for k in range(n))))
+    return F.when(F.size(w) >= n, runs).otherwise(F.array().cast("array<string>"))
 
 
 def normalize(c: Column) -> Column:
