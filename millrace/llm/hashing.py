@@ -123,8 +123,17 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, size: int = 5) -> tuple
     return mix(out), offsets
 
 
+#: Rows whose words are held at a time.
+ROWS = 500
+
+
 def shingle_sets(column: pa.Array, size: int = 5):
     """Yields the sorted distinct shingle hashes of each row."""
+    for k in range(0, len(column), ROWS):
+        yield from _shingle_sets(column.slice(k, ROWS), size)
+
+
+def _shingle_sets(column: pa.Array, size: int):
     raw, off = text_bytes(column)
     starts, ends, first = word_spans(raw, off)
     hashes, offsets = shingle_hashes(word_hashes(raw, starts, ends), first, size)

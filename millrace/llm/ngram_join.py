@@ -8,8 +8,8 @@ under further orders, and only what passes every order is verified on the whole
 
 What keeps groups from exploding:
 * Texts of the same set are one node, whatever their number.
-* A posting list first links each member to one centre only (a star; rows linear in the list), then
-  to its neighbour in random orders. Only members that these leave in different components are then paired, so that a group of
+* A posting list first links each member to one centre only (a star; rows linear in the list), the
+  text with the fewest rarer shingles. Only members that these stars leave in different components are then paired, so that a group of
   near copies never becomes all its pairs while no link between components is lost.
 * Shingles that the counters show in very many texts are dealt over several tasks.
 
@@ -24,7 +24,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import hashing
@@ -37,8 +37,10 @@ COUNTER_BITS, PIECE_BITS = 22, 16
 HOT_LEVEL = 48
 #: Bits of the filter of texts that have a candidate; false hits only cost bytes.
 FILTER_BITS = 24
-#: Rounds of chains before the pairs that are left are all formed.
-CHAIN_TURNS = 2
+#: Further rounds of stars before the pairs that are left are all formed.
+MORE_STARS = 1
+#: Pairs that are broadcast at most, 24 bytes a side; more are joined by shuffle.
+FEW_PAIRS = 100_000
 #: Odd multipliers: the further global orders are those of the multiplied hashes.
 FURTHER_ORDERS = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 
@@ -154,45 +156,51 @@ def _posting_batch(parts) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(salt, pa.int32()), pa.array(key.view(np.int64)), pa.array((n << 32) | at)], names=["token", "salt", "key", "place"])
 
 
-def _shared_lists(t: tuple[int, int]):
-    """Of rows sorted by (token, salt, place, key): those that another text, or another task, may link to by this token.
+def _size_class(n):
+    """Sets of linked texts are in the same class or in neighbouring ones."""
+    return np.floor(np.log(np.maximum(n, 1)) / math.log(4 / 3)).astype(np.int64)
 
-    place starts with the set size, so a list falls apart where sizes grow by more than 1 / t. Adds
-    the first key of such a part as its centre. Streams: holds one row and the first of its part.
-    """
-    names = ["token", "salt", "key", "place", "centre", "centre_place"]
 
-    def run(batches):
-        tail = None  # the last row, its centre, the centre's place, whether it has company; not yet given out
-        for batch in batches:
-            token, salt, key, place = (batch.column(i).to_numpy() for i in range(4))
-            if not len(token):
-                continue
-            if tail is not None:
-                token, salt, key, place = (np.concatenate([np.array([x], y.dtype), y]) for x, y in zip(tail[:4], (token, salt, key, place), strict=True))
-            keep = np.ones(len(token), dtype=bool)  # a copy of the same text in the same list
-            keep[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
-            token, salt, key, place = token[keep], salt[keep], key[keep], place[keep]
-            n = place >> 32
-            same = np.zeros(len(token), dtype=bool)
-            same[1:] = (token[1:] == token[:-1]) & (salt[1:] == salt[:-1]) & (n[:-1] * t[1] >= n[1:] * t[0])
-            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(token))))
-            centre, centre_place = key[first], place[first]
-            company = same.copy()
-            company[:-1] |= same[1:]
-            company |= (token.view(np.uint64) >> np.uint64(56)).astype(np.int64) >= HOT_LEVEL + 4
-            if tail is not None:
-                own = first == 0
-                centre[own], centre_place[own] = tail[4], tail[5]
-                company[0] |= tail[6]
-            tail = (token[-1], salt[-1], key[-1], place[-1], centre[-1], centre_place[-1], company[-1])
-            give = company.copy()
-            give[-1] = False
-            yield pa.RecordBatch.from_arrays([pa.array(x[give]) for x in (token, salt, key, place, centre, centre_place)], names=names)
-        if tail is not None and tail[6]:
-            yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int32() if i == 1 else pa.int64()) for i, x in enumerate(tail[:6])], names=names)
+def _shared_lists(batches):
+    """Of rows sorted by (token, salt, size class, position, key): those whose token a text of like size, or another task, may hold too.
 
-    return run
+    Adds the first key of each size class of a list as its centre. That is the text with the fewest
+    rarer shingles, of a group of near copies the one nearest to what they were copied from.
+    Streams: holds one row and the first of its class.
+    """
+    names = ["token", "salt", "key", "place", "centre", "centre_place"]
+    tail = None  # the last row, its centre, the centre's place, whether it has company; not yet given out
+    for batch in batches:
+        token, salt, key, place = (batch.column(i).to_numpy() for i in range(4))
+        if not len(token):
+            continue
+        if tail is not None:
+            token, salt, key, place = (np.concatenate([np.array([x], y.dtype), y]) for x, y in zip(tail[:4], (token, salt, key, place), strict=True))
+        keep = np.ones(len(token), dtype=bool)  # a copy of the same text in the same list
+        keep[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
+        token, salt, key, place = token[keep], salt[keep], key[keep], place[keep]
+        listed = np.zeros(len(token), dtype=bool)
+        listed[1:] = (token[1:] == token[:-1]) & (salt[1:] == salt[:-1])
+        kind = _size_class(place >> 32)
+        same = listed.copy()
+        same[1:] &= kind[1:] == kind[:-1]
+        first = np.maximum.accumulate(np.where(same, 0, np.arange(len(token))))
+        centre, centre_place = key[first], place[first]
+        near = listed.copy()  # beside a row of its own size class or the next
+        near[1:] &= kind[1:] - kind[:-1] <= 1
+        company = near.copy()
+        company[:-1] |= near[1:]
+        company |= (token.view(np.uint64) >> np.uint64(56)).astype(np.int64) >= HOT_LEVEL + 4
+        if tail is not None:
+            own = first == 0
+            centre[own], centre_place[own] = tail[4], tail[5]
+            company[0] |= tail[6]
+        tail = (token[-1], salt[-1], key[-1], place[-1], centre[-1], centre_place[-1], company[-1])
+        give = company.copy()
+        give[-1] = False
+        yield pa.RecordBatch.from_arrays([pa.array(x[give]) for x in (token, salt, key, place, centre, centre_place)], names=names)
+    if tail is not None and tail[6]:
+        yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int32() if i == 1 else pa.int64()) for i, x in enumerate(tail[:6])], names=names)
 
 
 def _bitmap(bits: int):
@@ -213,26 +221,28 @@ def _or_all(pdf):
     return pdf.iloc[:1].assign(bits=[zlib.compress(total.tobytes(), 1)])
 
 
-def _sets(wanted_held, size: int):
-    """(key, set) of the texts whose key passes the filter, once for each task."""
+def _sets(keys_held, ids_held, size: int):
+    """(key, set) of the texts whose key and doc_id pass the filters, once for each task."""
 
     def run(batches):
-        wanted = np.unpackbits(np.frombuffer(zlib.decompress(wanted_held.value), dtype=np.uint8)).view(bool)
+        keys, ids = (np.unpackbits(np.frombuffer(zlib.decompress(x.value), dtype=np.uint8)).view(bool) for x in (keys_held, ids_held))
         low, seen = (1 << FILTER_BITS) - 1, set()
         for batch in batches:
-            keys, blobs, held = [], [], 0
-            for own in hashing.shingle_sets(batch.column(0), size):
-                if len(own) and wanted[(key := _set_key(own)) & low] and key not in seen:
+            found, blobs, held = [], [], 0
+            for doc_id, own in zip(batch.column(0).to_pylist(), hashing.shingle_sets(batch.column(1), size), strict=True):
+                if not len(own) or (doc_id is not None and not ids[doc_id & low]):
+                    continue
+                if keys[(key := _set_key(own)) & low] and key not in seen:
                     if len(seen) < 200_000:
                         seen.add(key)
-                    keys.append(key)
+                    found.append(key)
                     blobs.append(own.tobytes())
                     held += len(own)
-                    if held > 1_000_000:
-                        yield _set_batch(keys, blobs)
-                        keys, blobs, held = [], [], 0
-            if keys:
-                yield _set_batch(keys, blobs)
+                    if held > 500_000:
+                        yield _set_batch(found, blobs)
+                        found, blobs, held = [], [], 0
+            if found:
+                yield _set_batch(found, blobs)
 
     return run
 
@@ -255,21 +265,27 @@ def _verify(t: tuple[int, int]):
         return int(np.count_nonzero(both[1:] == both[:-1]))
 
     def run(batches):
+        held = None  # the first text of a pair whose second is in the next batch
+        last_key, last, prefixes = None, None, []
         for batch in batches:
+            left, right, side, sets = (batch.column(i) for i in range(4))
             src, dst = [], []
-            left, last_key, last, prefixes = batch.column(0).to_numpy(), None, None, []
-            right, sets_a, sets_b = batch.column(1).to_numpy(), batch.column(2), batch.column(3)
-            for i in range(batch.num_rows):
-                if left[i] != last_key:
-                    last_key, last = left[i], np.frombuffer(sets_a[i].as_py(), dtype=np.uint64)
+            for a, b, second, blob in zip(left.to_pylist(), right.to_pylist(), side.to_pylist(), sets, strict=True):
+                if not second:
+                    held = (a, b, blob)
+                    continue
+                if held is None or held[:2] != (a, b):
+                    continue
+                if a != last_key:
+                    last_key, last = a, np.frombuffer(held[2].as_py(), dtype=np.uint64)
                     prefixes = [_first_few(last, f, prefix_length(len(last), *t)) for f in FURTHER_ORDERS]
-                other = np.frombuffer(sets_b[i].as_py(), dtype=np.uint64)
+                other = np.frombuffer(blob.as_py(), dtype=np.uint64)
                 if not all(meets(p, _first_few(other, f, prefix_length(len(other), *t))) for f, p in zip(FURTHER_ORDERS, prefixes, strict=True)):
                     continue
                 shared = meets(last, other)
                 if shared * t[1] >= (len(last) + len(other) - shared) * t[0]:
-                    src.append(left[i])
-                    dst.append(right[i])
+                    src.append(a)
+                    dst.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
 
     return run
@@ -286,34 +302,56 @@ class _Join:
 
     def lists(self, levels: bytes) -> DataFrame:
         rows = need(self.docs, "text").mapInArrow(_postings(self.spark.sparkContext.broadcast(levels), self.size, self.t), "token long, salt int, key long, place long")
-        rows = rows.repartition(self.parts, "token", "salt").sortWithinPartitions("token", "salt", "place", "key")
-        return cut(rows.mapInArrow(_shared_lists(self.t), "token long, salt int, key long, place long, centre long, centre_place long"))
-
-    def sets(self, lists: DataFrame) -> DataFrame:
-        """(key, shingles) of every text in a list, read once more from the documents."""
-        bits = lists.select("key").mapInArrow(_bitmap(FILTER_BITS), "bits binary")
+        rows = rows.repartition(self.parts, "token", "salt").sortWithinPartitions("token", "salt", _class("place"), _at("place"), "place", "key")
+        return cut(rows.mapInArrow(_shared_lists, "token long, salt int, key long, place long, centre long, centre_place long"))
+
+    def sets(self, lists: DataFrame, survey: DataFrame) -> DataFrame:
+        """(key, shingles) of every set in a list, read once more from its document of the smallest id.
+
+        Two filters of a fixed size say which documents to give out: of the sets' keys and of those
+        ids. False hits may give a set twice, which does no harm.
+        """
+        keys = lists.select("key").distinct()
+        least = survey.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+        keys_held, ids_held = self.filter(keys), self.filter(least.join(keys, "key", "left_semi").select("doc_id"))
+        rows = need(self.docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        return cut(rows.mapInArrow(_sets(keys_held, ids_held, self.size), "key long, shingles binary"))
+
+    def filter(self, numbers: DataFrame):
+        """A broadcast bitmap of 2 ** FILTER_BITS bits of a column of numbers."""
+        bits = numbers.mapInArrow(_bitmap(FILTER_BITS), "bits binary")
         for parts in (16, 1):  # at most 16 rows of a fixed size meet in the last task
             bits = bits.withColumn("g", F.pmod(F.xxhash64("bits"), F.lit(parts))).groupBy("g").applyInPandas(_or_all, "bits binary, g long").select("bits")
-        wanted = bits.collect()
-        held = self.spark.sparkContext.broadcast(bytes(wanted[0]["bits"]) if wanted else zlib.compress(bytes(1 << FILTER_BITS - 3)))
-        return cut(need(self.docs, "text").mapInArrow(_sets(held, self.size), "key long, shingles binary").dropDuplicates(["key"]))
+        found = bits.collect()
+        return self.spark.sparkContext.broadcast(bytes(found[0]["bits"]) if found else zlib.compress(bytes(1 << FILTER_BITS - 3)))
 
     def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Of distinct pairs (a, b): those that pass every filter and the test itself."""
-        both = pairs.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("of_b")), "b").join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("of_a")), "a")
-        return cut(both.select("a", "b", "of_a", "of_b").mapInArrow(_verify(self.t), "src long, dst long"))
-
-    def could_link(self, n_a, n_b, place_a, place_b, shared):
-        """Size and position filters: what the two sets can have in common at most, against what a link needs."""
+        pairs = cut(pairs)
+        sides = pairs.select("a", "b", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("key")), F.struct(F.lit(1).alias("side"), F.col("b").alias("key")))).alias("s")).select("a", "b", "s.side", "s.key")
+        if pairs.count() <= FEW_PAIRS:  # counted, so that the sets stay where they are
+            sides = F.broadcast(sides)
+        both = sides.join(sets, "key").select("a", "b", "side", "shingles").repartition(self.parts, "a", "b").sortWithinPartitions("a", "b", "side")
+        return cut(both.mapInArrow(_verify(self.t), "src long, dst long"))
+
+    def could_link(self, n_a, n_b, place_a, place_b):
+        """Size and position filters: whether the two sets can link if this token, at these places, is the first they share.
+
+        Linked sets have a first shared token, and for it this holds; pairs need be formed at such tokens only.
+        """
         top, bottom = self.t
-        rest = F.least(n_a - place_a - 1, n_b - place_b - 1)
-        return (F.least(n_a, n_b) * bottom >= F.greatest(n_a, n_b) * top) & ((shared + rest) * (top + bottom) >= (n_a + n_b) * top)
+        most = 1 + F.least(n_a - place_a - 1, n_b - place_b - 1)
+        return (F.least(n_a, n_b) * bottom >= F.greatest(n_a, n_b) * top) & (most * (top + bottom) >= (n_a + n_b) * top)
 
 
 def _n(c):
     return F.shiftright(F.col(c), 32)
 
 
+def _class(c):
+    return F.floor(F.ln(_n(c)) / F.lit(math.log(4 / 3)))
+
+
 def _at(c):
     return F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))
 
@@ -327,31 +365,30 @@ def links(docs: DataFrame, size: int = 5, numerator: int = 75, denominator: int
     job = _Join(docs, size, (numerator, denominator))
     survey = job.survey()
     lists = job.lists(rarity(survey))
-    sets = job.sets(lists)
+    sets = job.sets(lists, survey)
     ordered = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # Stars: each member against the centre of its list, and the centres of one token's tasks against each other.
-    star = lists.where("key <> centre").where(job.could_link(_n("place"), _n("centre_place"), _at("place"), _at("centre_place"), F.least(_at("place"), _at("centre_place")) + 1))
+    star = lists.where("key <> centre").where(job.could_link(_n("place"), _n("centre_place"), _at("place"), _at("centre_place")))
     tops = lists.where("key = centre").select("token", "salt", F.col("centre").alias("a"))
     across = tops.where("salt > 0").join(tops.where("salt = 0").select("token", F.col("a").alias("b")), "token").where("a <> b")
     found = job.links(star.select(F.col("centre").alias("a"), F.col("key").alias("b")).unionByName(across.select("a", "b")).select(*ordered).distinct(), sets)
-    # Chains in random orders, among what is still in different components: linear in the lists as well.
-    for turn in range(CHAIN_TURNS):
+    # Stars once more, among what is still in different components, about the first of each size class and any comp but one's own.
+    for _ in range(MORE_STARS):
         rows = cut(_apart(lists, components(found)))
-        order = Window.partitionBy("token").orderBy(F.xxhash64(F.lit(turn), "key"), "key")
-        near = rows.select("key", "comp", "place", *(F.lag(c).over(order).alias(f"{c}_a") for c in ("key", "comp", "place")))
-        pairs = near.where("comp <> comp_a").where(job.could_link(_n("place"), _n("place_a"), _at("place"), _at("place_a"), F.least(_at("place"), _at("place_a")) + 1))
-        new = job.links(pairs.select(F.col("key_a").alias("a"), F.col("key").alias("b")).select(*ordered).distinct(), sets)
+        first = rows.groupBy("token", _class("place").alias("c"), "comp").agg(F.min(F.struct(_at("place").alias("at"), F.col("key").alias("a"), F.col("place").alias("pa"))).alias("f"))
+        one = first.groupBy("token", "c").agg(F.min(F.struct("f.at", "f.a", "f.pa", "comp")).alias("f")).select("token", "c", "f.a", "f.pa", F.col("f.comp").alias("comp_a"))
+        pairs = rows.withColumn("c", F.explode(F.array(_class("place"), _class("place") - 1))).join(one, ["token", "c"]).where("comp <> comp_a").where(job.could_link(_n("place"), _n("pa"), _at("place"), _at("pa")))
+        new = job.links(pairs.select("a", F.col("key").alias("b")).select(*ordered).distinct(), sets)
         if new.isEmpty():
             break
         found = found.unionByName(new)
-    # All pairs that are left: between different components of a list, judged by all the prefix tokens they share.
+    # All pairs that are left: between different components of a list, at tokens that can be the first they share.
     rows = cut(_apart(lists, components(found)))
     a, b = (rows.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("key", "place", "comp"))) for s in "ab")
-    pairs = a.join(b, "token").where("key_a < key_b and comp_a <> comp_b").where(F.least(_n("place_a"), _n("place_b")) * denominator >= F.greatest(_n("place_a"), _n("place_b")) * numerator)
-    pairs = pairs.groupBy("key_a", "key_b").agg(F.count("*").alias("shared"), F.max("place_a").alias("pa"), F.max("place_b").alias("pb"))
-    pairs = pairs.where(job.could_link(_n("pa"), _n("pb"), _at("pa"), _at("pb"), F.col("shared")))
+    pairs = a.join(b, "token").where("key_a < key_b and comp_a <> comp_b").where(job.could_link(_n("place_a"), _n("place_b"), _at("place_a"), _at("place_b")))
+    pairs = pairs.select("key_a", "key_b").distinct()
     more = job.links(pairs.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")), sets)
-    return survey.where("piece is null").select("doc_id", "n", "key"), found.unionByName(more)
+    return survey.where("piece is null").select("doc_id", "n", "key"), found.unionByName(more).distinct()
 
 
 def _apart(lists: DataFrame, comp: DataFrame) -> DataFrame:
