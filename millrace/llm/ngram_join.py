@@ -409,7 +409,3 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, numerator: int = 75, d
     least = named.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return named.join(least, "comp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
-
-def exact_links(t: tuple[int, int], sizes: list[int], shared: int) -> bool:
-    """The test of two sets by their sizes and what they share, for brute force in tests."""
-    return shared * t[1] >= (sum(sizes) - shared) * t[0] and math.prod(sizes) > 0
