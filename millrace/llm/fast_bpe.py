@@ -18,7 +18,7 @@ import pyarrow as pa
 from millrace.llm import hashing
 
 #: Distinct words that a worker keeps, and words merged together.
-KEPT, BATCH = 1_000_000, 8192
+KEPT, BATCH = 250_000, 8192
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _ASCII = np.zeros(256, dtype=bool)

@@ -28,7 +28,8 @@ GRAM, HASHES, TABLE_BITS = 5, 2, 20
 PER_LANGUAGE = 400
 #: An n-gram enters a language's filter once that many of its sampled documents have it.
 MIN_DOCS = 2
-#: Bytes of text looked at at a time.
+#: Rows handed on at a time, and bytes of text looked at at a time.
+ROWS = 1000
 SLAB = 1 << 20
 
 #: Bytes as they count: A-Z as a-z, the rest of ASCII that is no letter as a space, UTF-8 bytes as they are.
@@ -136,7 +137,7 @@ def _predict(held, text_too: bool):
     def run(batches):
         languages, blob, width = held.value
         model = Model(languages, np.frombuffer(zlib.decompress(blob), dtype=np.uint64).reshape(-1, width).copy())
-        for batch in batches:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             column = batch.column(batch.num_columns - 1)
             raw, off = text_bytes(column)
             best, score = model.decide(raw, off)
