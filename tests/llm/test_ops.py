@@ -409,6 +409,49 @@ def test_common_subsequence():
         assert S.common(np.array(a), np.array(b)) == t[-1][-1]
 
 
+@pytest.mark.parametrize("between", [25, 35, 45])
+def test_two_passages_in_one_chain(frame, between):
+    from millrace.llm import substring as S
+
+    one, two = prose(201, 60), prose(202, 60)
+    texts = [f"{prose(210 + i, 40)} {one} {prose(220 + i, between)} {two} {prose(230 + i, 40)}" for i in range(2)]
+    rows = S.passages(frame(texts)).collect()
+    words = [t.split(" ") for t in texts]
+    held = set()
+    for r in rows:
+        a, b = words[r["doc_id"]][r["start_word"] : r["end_word"]], words[r["other_id"]][r["other_start"] : r["other_end"]]
+        assert r["matched"] >= max(S.MIN_WORDS, S.IDENTITY * max(len(a), len(b)))
+        held |= set(range(r["start_word"], r["end_word"]))
+    assert set(range(40, 100)) | set(range(100 + between, 160 + between)) <= held
+
+
+def test_parts_of_an_alignment():
+    from millrace.llm import substring as S
+
+    rng = random.Random(4)
+    for _ in range(200):
+        runs, x, y = [], 0, 0
+        for _ in range(rng.randint(0, 9)):
+            n = rng.randint(1, 40)
+            runs.append((x, y, n))
+            x, y = x + n + rng.randint(0, 20), y + n + rng.randint(0, 20)
+        found = S.parts_of(np.array(runs, dtype=np.int64).reshape(-1, 3))
+        every = []
+        for s in range(len(runs)):
+            for e in range(s, len(runs)):
+                span = [runs[e][k] + runs[e][2] - runs[s][k] for k in (0, 1)]
+                n = sum(r[2] for r in runs[s : e + 1])
+                if n >= S.MIN_WORDS and n >= S.IDENTITY * max(span):
+                    every.append((runs[s][0], runs[e][0] + runs[e][2], n))
+        assert max((n for *_, n in every), default=0) == max((f[4] for f in found), default=0)
+        for a, b, _ in every:  # none lies apart from all that were found
+            assert any(f[0] < b and a < f[1] for f in found)
+        a, b = ([rng.randint(0, 4) for _ in range(rng.randint(0, 15))] for _ in range(2))
+        places = S.common_places(np.array(a), np.array(b))
+        assert len(places) == S.common(np.array(a), np.array(b)) and all(a[i] == b[j] for i, j in places)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(places, places[1:]))
+
+
 # ---- pipeline
 
 
