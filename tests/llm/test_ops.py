@@ -409,7 +409,7 @@ def test_common_subsequence():
         assert S.common(np.array(a), np.array(b)) == t[-1][-1]
 
 
-@pytest.mark.parametrize("between", [25, 35, 45])
+@pytest.mark.parametrize("between", [25, 35, 45, 60])
 def test_two_passages_in_one_chain(frame, between):
     from millrace.llm import substring as S
 
@@ -425,6 +425,53 @@ def test_two_passages_in_one_chain(frame, between):
     assert set(range(40, 100)) | set(range(100 + between, 160 + between)) <= held
 
 
+@pytest.mark.parametrize(("first", "between", "second"), [(60, 60, 60), (60, 80, 60), (400, 100, 400), (400, 600, 200)])
+def test_second_passage_further_on(first, between, second):
+    from millrace.llm import substring as S
+
+    rng = np.random.default_rng(first + between)
+    one, two = rng.integers(1, 1 << 60, first), rng.integers(1, 1 << 60, second)
+    sides = [np.concatenate([rng.integers(1, 1 << 60, 40), one, rng.integers(1, 1 << 60, between), two]).astype(np.uint64) for _ in range(2)]
+    (h, x), (g, y) = (S.seeds(w) for w in sides)
+    place = dict(zip(g.tolist(), y.tolist(), strict=True))
+    both = [(i, place[c]) for c, i in zip(h.tolist(), x.tolist(), strict=True) if c in place]
+    at, other_at = (np.array(v) for v in zip(*both, strict=True))
+    batch = pa.RecordBatch.from_arrays([pa.array(v) for v in (np.full(len(at), 2), np.ones(len(at), np.int64), at, other_at)], names=["doc", "other", "at", "other_at"])
+    held = set()
+    for part in S._chain_rows([batch]):
+        for xs, ys in zip(part["xs"].to_pylist(), part["ys"].to_pylist(), strict=True):
+            for p in S.judged(*sides, np.array(xs), np.array(ys)):
+                held |= set(range(p[0], p[1]))
+    assert set(range(40, 40 + first)) | set(range(40 + first + between, 40 + first + between + second)) <= held
+
+
+def test_chains_link_the_best_within_the_gap():
+    from millrace.llm import substring as S
+
+    rng = random.Random(5)
+    for _ in range(60):
+        x = np.cumsum([S.K * rng.randint(1, 5) for _ in range(40)])  # no overlaps
+        y = np.array([max(0, int(v) + S.K * rng.choice([0, 0, 0, 0, 4, 25])) for v in x])
+        score = []
+        for j in range(len(x)):
+            best, before = float(S.K), None
+            for i in range(j):
+                if 0 < x[j] - x[i] <= S.MAX_GAP and 0 < y[j] - y[i] <= S.MAX_GAP:
+                    key = score[i] + S.GAP_COST * (x[i] + y[i])
+                    before = i if before is None or key > score[before] + S.GAP_COST * (x[before] + y[before]) + 1e-9 else before
+            if before is not None:
+                gaps = max(0, x[j] - x[before] - S.K) + max(0, y[j] - y[before] - S.K)
+                best = max(best, score[before] + min(S.K, x[j] - x[before]) - S.GAP_COST * gaps)
+            score.append(best)
+        top = int(np.argmax(score))
+        first = next(c for c in S.chains(x, y) if top in c)
+        got = float(S.K)
+        for i, j in zip(first, first[1:]):
+            got += min(S.K, x[j] - x[i]) - S.GAP_COST * (max(0, x[j] - x[i] - S.K) + max(0, y[j] - y[i] - S.K))
+            assert x[j] - x[i] <= S.MAX_GAP and y[j] - y[i] <= S.MAX_GAP
+        assert abs(got - score[top]) < 1e-6
+
+
 def test_parts_of_an_alignment():
     from millrace.llm import substring as S
 
