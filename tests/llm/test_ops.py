@@ -472,6 +472,58 @@ def test_chains_link_the_best_within_the_gap():
         assert abs(got - score[top]) < 1e-6
 
 
+def chained_passages(a, b):
+    """Passages of two word arrays by way of seeds and chains, as the operator finds them."""
+    from millrace.llm import substring as S
+
+    (h, x), (g, y) = S.seeds(a), S.seeds(b)
+    place = dict(zip(g.tolist(), y.tolist(), strict=True))
+    both = [(i, place[c]) for c, i in zip(h.tolist(), x.tolist(), strict=True) if c in place]
+    if len(both) < 2:
+        return []
+    at, other_at = (np.array(v) for v in zip(*both, strict=True))
+    batch = pa.RecordBatch.from_arrays([pa.array(v) for v in (np.full(len(at), 2), np.ones(len(at), np.int64), at, other_at)], names=["doc", "other", "at", "other_at"])
+    out = []
+    for part in S._chain_rows([batch]):
+        for xs, ys in zip(part["xs"].to_pylist(), part["ys"].to_pylist(), strict=True):
+            out += S.judged(a, b, np.array(xs), np.array(ys))
+    return out
+
+
+def edited_words(rng, words, share, kinds):
+    """Words with that share of them replaced, left out or doubled by a new one, in turn at random."""
+    out = []
+    for w in words.tolist():
+        kind = rng.choice(kinds) if rng.random() < share else "keep"
+        out += {"keep": [w], "replace": [int(rng.integers(1, 1 << 60))], "drop": [], "add": [w, int(rng.integers(1, 1 << 60))]}[kind]
+    return np.array(out, dtype=np.uint64)
+
+
+@pytest.mark.parametrize("n", [60, 100])
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.15, 0.19])
+@pytest.mark.parametrize("kinds", [["replace"], ["replace", "drop", "add"]])
+def test_recall_of_edited_passages(n, share, kinds):
+    from millrace.llm import substring as S
+
+    rng, found, there = np.random.default_rng(n), 0, 0
+    for _ in range(60):
+        passage = rng.integers(1, 1 << 60, n).astype(np.uint64)
+        a, b = (np.concatenate([rng.integers(1, 1 << 60, 40).astype(np.uint64), w, rng.integers(1, 1 << 60, 40).astype(np.uint64)]) for w in (passage, edited_words(rng, passage, share, kinds)))
+        runs = np.array([(i, j, 1) for i, j in S.common_places(a, b)], dtype=np.int64).reshape(-1, 3)
+        if S.parts_of(runs):  # by alignment of the two whole texts
+            there += 1
+            found += bool(chained_passages(a, b))
+    assert found >= 0.97 * there
+
+
+def test_a_word_replaced_in_every_eight():
+    rng = np.random.default_rng(8)
+    a = rng.integers(1, 1 << 60, 80).astype(np.uint64)
+    b = a.copy()
+    b[::8] = rng.integers(1, 1 << 60, 10)
+    assert chained_passages(a, b)
+
+
 def test_parts_of_an_alignment():
     from millrace.llm import substring as S
 
