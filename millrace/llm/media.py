@@ -3,9 +3,10 @@
 The payload is the UTF-8 text with zero bytes up to a positive multiple of 64; each byte is one
 sample of a mono 8-bit WAV made and read by the wave module. Frames of the samples read back are
 Hann-windowed and transformed; every tile of some frames by some bins gives one peak, its loudest
-point, and each peak is paired with the peaks of its own and the next higher band one tile later. A
-pair is one number: the first peak's frame, then both bins and the frames between them, so that an
-array of pairs is coded by time.
+point, and each peak is paired with the peaks of its own and the next higher band one tile later, and
+with that of the next higher band in its own tile, so that one tile has pairs too. A pair is one
+number: the frame of its first peak, then that peak's bin, the other's bin and the frames between
+them, so that an array of pairs is coded by time. Of two peaks in one frame the lower one is first.
 
 Null texts count as empty (64 zero bytes). Long texts are transformed in slabs of frames.
 """
@@ -82,6 +83,10 @@ def fingerprint(samples: np.ndarray) -> np.ndarray:
     for up in (0, 1):
         one, two = np.s_[:-1, : what.shape[1] - up], np.s_[1:, up:]
         out.append((when[one] << 32 | what[one] << 16 | what[two] << 8 | (when[two] - when[one])).ravel())
+    gap = when[:, 1:] - when[:, :-1]  # within a tile the higher band's peak may be the earlier one
+    low, high = what[:, :-1], what[:, 1:]
+    one, two = np.where(gap >= 0, low, high), np.where(gap >= 0, high, low)
+    out.append((np.minimum(when[:, :-1], when[:, 1:]) << 32 | one << 16 | two << 8 | np.abs(gap)).ravel())
     return np.sort(np.concatenate(out))
 
 

@@ -174,6 +174,18 @@ def test_media_round_trip_and_equal_texts(frame):
     assert rows[6]["fingerprint"] == rows[7]["fingerprint"] != rows[9]["fingerprint"]
 
 
+def test_fingerprints_of_short_texts():
+    from millrace.llm import media
+
+    texts = [prose(300 + i, n) for i, n in enumerate([1, 2, 5, 10, 20, 40, 60, 80, 100] * 5)]
+    texts = sorted({t for t in texts if len(t) <= 1152})
+    prints = [tuple(media.fingerprint(np.frombuffer(media.payload_of(t.encode()), dtype=np.uint8)).tolist()) for t in texts]
+    assert len(texts) > 30 and min(map(len, prints)) > 0
+    whole = [p for t, p in zip(texts, prints, strict=True) if len(t) >= 64]  # a shorter one is mostly padding
+    assert len(whole) > 20 and len(set(whole)) == len(whole)
+    assert all(list(p) == sorted(p) for p in prints)
+
+
 def test_peaks_of_a_tone():
     from millrace.llm import media
 
