@@ -566,6 +566,14 @@ def test_parts_of_an_alignment():
 # ---- pipeline
 
 
+def test_language_stage_keeps_very_short_words(frame, spark):
+    import corpus_pipeline
+
+    docs = frame([prose(i, 60) for i in range(40)] + ["an", "Hi", "é", "word", "", " ", "12"], extra=False)
+    kept = {r[0] for r in corpus_pipeline.language(spark, docs, "").select("doc_id").collect()}
+    assert kept == set(range(44))
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
