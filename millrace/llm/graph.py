@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut
+from millrace.llm.common import cut, release
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,7 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = cut(small)
+        old, edges = edges, cut(small)
+        release(old)
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
         if before == now:
             break
