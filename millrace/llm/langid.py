@@ -5,29 +5,39 @@ set, so that ANDing the entries of an n-gram's hashes gives at once the set of a
 contain it. Per document, n-grams are counted by language (popcounts of the masks' bits), each count
 is corrected for the false positives that the filter's fill predicts, and the largest decides.
 
-n-grams are runs of GRAM bytes of the lower-cased text, over letters and the spaces around words.
-Training reads a bounded sample: at most PER_LANGUAGE documents a language, the smallest by hash.
+n-grams are runs of GRAM bytes of the lower-cased text, over letters and the spaces around words; two
+spaces are put on both sides, so that one letter has some too. Training reads a sample of about
+PER_LANGUAGE whole documents a language: those whose hash of id and text lies below a threshold that
+follows from the language's number of documents. The sample's n-grams are counted and ORed into the
+table on the executors; the driver sees the table alone, whose size is fixed for 64 languages.
 An n-gram that does not tell languages apart (in all of them) adds the same to every count.
+
+Null texts, and texts without a letter, are `und` with score 0. Ties go to the first language by
+name; so do texts that no language has an n-gram of, with score 0. Repeated rows of one id and text
+are learned from once, and each predicted. Very long texts are read whole, in slabs. From an empty
+table, or one without a language, nothing is learned and all is `und`.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import need
+from millrace.llm.common import cut, need, release
 from millrace.llm.hashing import mix, text_bytes
 
 GRAM, HASHES, TABLE_BITS = 5, 2, 20
-#: Documents a language that are learned from at most, and bytes that a filter's n-grams are taken from at most.
+#: Documents a language that are learned from, at about.
 PER_LANGUAGE = 400
-#: An n-gram enters a language's filter once that many of its sampled documents have it.
-MIN_DOCS = 2
+#: An n-gram enters a language's filter if that share of its sampled documents have it, and one at least.
+MIN_SHARE = 0.005
+#: log2 of the table's entries in a piece, as it is put together.
+PIECE_BITS = 14
 #: Rows handed on at a time, and bytes of text looked at at a time.
 ROWS = 1000
 SLAB = 1 << 20
@@ -37,7 +47,19 @@ _FOLD = np.full(256, 32, dtype=np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def padded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a string column's rows, with two spaces on both sides of each."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    two, none = (pa.scalar(x, pa.large_string()) for x in ("  ", ""))
+    return text_bytes(pc.binary_join_element_wise(two, column.fill_null("").cast(pa.large_string()), two, none))
+
+
+def has_letter(text: str) -> bool:
+    """Whether a text has a character of a Unicode letter category."""
+    return any(map(str.isalpha, text))
 
 
 def grams(raw: np.ndarray) -> np.ndarray:
@@ -87,7 +109,7 @@ class Model:
         return counts, total
 
     def decide(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the language and a score of 0 to 1 for each row: the corrected share of its n-grams that language has, times its lead."""
+        """Index of the language and a score of 0 to 1 for each row: the corrected share of its n-grams that language has."""
         counts, total = self.popcounts(raw, off)
         rate = self.false_rate[None, :]
         share = (counts - total[:, None] * rate) / np.maximum(total[:, None], 1) / np.maximum(1 - rate, 1e-9)
@@ -96,41 +118,60 @@ class Model:
         top = share.max(axis=1) if share.shape[1] else np.zeros(len(total))
         return best, top
 
-    @staticmethod
-    def learn(texts: list[tuple[str, str]], languages: list[str]) -> Model:
-        table = np.zeros((1 << TABLE_BITS, max(1, -(-len(languages) // 64))), dtype=np.uint64)
-        for k, lang in enumerate(languages):
-            own = [np.unique(grams(np.frombuffer(t.encode(), dtype=np.uint8))) for name, t in texts if name == lang]
-            if not own:
-                continue
-            codes, times = np.unique(np.concatenate(own), return_counts=True)
-            codes = codes[times >= MIN_DOCS] if len(own) >= 10 * MIN_DOCS else codes
-            for s in slots(codes):
-                table[s, k // 64] |= np.uint64(1 << (k % 64))
-        return Model(languages, table)
-
 
 def held_out(doc_id: Column) -> Column:
     """Documents never learned from: crc32 of the id as text, mod 4, is 2. A null id counts as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
+def _gram_rows(batches):
+    """Of rows (language number, text): the number and each distinct n-gram of the text."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, 50):
+            part = batch.slice(k, 50)
+            raw, off = padded(part.column(1))
+            own = [np.unique(grams(raw[a:b])) for a, b in zip(off, off[1:])]
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(np.repeat(np.arange(len(own)), [len(x) for x in own]))), pa.array(np.concatenate(own).view(np.int64))], names=["k", "code"])
+
+
+def _slot_rows(batches):
+    """Of rows (language number, n-gram): the table entries and bits that they set."""
+    for batch in batches:
+        k, code = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+        for at in slots(code):
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(k // 64, pa.int64()), pa.array((np.uint64(1) << (k % 64).astype(np.uint64)).view(np.int64))], names=["slot", "word", "bits"])
+
+
+def _piece(pdf):
+    """A piece of the table, packed."""
+    out = np.zeros(1 << PIECE_BITS, dtype=np.uint64)
+    out[pdf["slot"].to_numpy() & ((1 << PIECE_BITS) - 1)] = pdf["bits"].to_numpy().view(np.uint64)
+    return pdf.iloc[:1][["piece", "word"]].assign(data=[zlib.compress(out.tobytes(), 1)])
+
+
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """A model from docs(doc_id, text, lang), of the rows not held out that have a text and a language."""
+    spark = docs.sparkSession
     rows = need(docs, "doc_id", "lang", "text").where(~held_out(F.col("doc_id"))).where("lang is not null and text is not null")
-    languages = sorted(r[0] for r in rows.select("lang").distinct().collect())  # as many as there are languages
-    # The smallest hashes by language, as running lists of bounded length, so that no task orders a whole language.
-    rank = F.xxhash64(F.col("doc_id").cast("string"))
-    ids = rows.select("lang", rank.alias("rank"), F.spark_partition_id().alias("part"))
-    inner, outer = Window.partitionBy("lang", "part").orderBy("rank"), Window.partitionBy("lang").orderBy("rank")
-    limit = ids.withColumn("r", F.row_number().over(inner)).where(F.col("r") <= per_language).withColumn("r2", F.row_number().over(outer)).where(F.col("r2") <= per_language)
-    limit = limit.groupBy("lang").agg(F.max("rank").alias("top")).select(F.col("lang").alias("_lang"), "top")
-    sample = rows.withColumn("rank", rank).join(F.broadcast(limit), F.col("lang") == F.col("_lang")).where("rank <= top")  # a row a language
-    return Model.learn([(r["lang"], r["text"]) for r in sample.select("lang", F.substring("text", 1, TRAIN_CHARS).alias("text")).collect()], languages)
-
-
-#: Characters of a sampled training text that are learned from (prediction reads whole texts).
-TRAIN_CHARS = 20_000
+    found = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
+    languages = sorted(found)
+    table = np.zeros((1 << TABLE_BITS, max(1, -(-len(languages) // 64))), dtype=np.uint64)
+    if not languages:
+        return Model([], table)
+    span = 1 << 30
+    chosen = spark.createDataFrame([(lang, k, min(span, -(-span * per_language // found[lang]))) for k, lang in enumerate(languages)], "_lang string, k long, below long")
+    rank = F.xxhash64("doc_id", "text")
+    sample = rows.withColumn("rank", rank).join(F.broadcast(chosen), F.col("lang") == F.col("_lang")).where(F.pmod("rank", F.lit(span)) < F.col("below"))
+    sample = cut(sample.select("k", "rank", "text").dropDuplicates(["k", "rank"]))
+    least = sample.groupBy("k").agg(F.greatest(F.lit(1.0), F.lit(MIN_SHARE) * F.count("*")).alias("least"))
+    codes = sample.select("k", "text").mapInArrow(_gram_rows, "k long, code long").groupBy("k", "code").agg(F.count("*").alias("n"))
+    codes = codes.join(F.broadcast(least), "k").where("n >= least").select("k", "code")  # a row a language
+    bits = codes.mapInArrow(_slot_rows, "slot long, word long, bits long").groupBy("slot", "word").agg(F.bit_or("bits").alias("bits"))
+    pieces = bits.withColumn("piece", F.shiftright("slot", PIECE_BITS)).groupBy("piece", "word").applyInPandas(_piece, "piece long, word long, data binary")
+    for r in pieces.toLocalIterator():  # the table: 8 MB for 64 languages, packed
+        table[r["piece"] << PIECE_BITS : (r["piece"] + 1) << PIECE_BITS, r["word"]] = np.frombuffer(zlib.decompress(r["data"]), dtype=np.uint64)
+    release(sample)
+    return Model(languages, table)
 
 
 def _predict(held, text_too: bool):
@@ -139,11 +180,11 @@ def _predict(held, text_too: bool):
         model = Model(languages, np.frombuffer(zlib.decompress(blob), dtype=np.uint64).reshape(-1, width).copy())
         for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             column = batch.column(batch.num_columns - 1)
-            raw, off = text_bytes(column)
+            raw, off = padded(column)
             best, score = model.decide(raw, off)
             lang, value = [], []
             for i, text in enumerate(column.to_pylist()):
-                known = text is not None and languages and _LETTER.search(text)
+                known = text is not None and languages and has_letter(text)
                 lang.append(languages[best[i]] if known else "und")
                 value.append(float(score[i]) if known else 0.0)
             given = batch.num_columns if text_too else batch.num_columns - 1
