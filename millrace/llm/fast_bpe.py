@@ -2,8 +2,8 @@
 
 Words are runs without ASCII white space, known by 64-bit hashes. Those that a worker has not met
 are merged together: for a batch of pieces the pair of the lowest rank is found and merged in all of
-them at once, in numpy. Words of other than plain Latin letters, with an apostrophe, or holding a
-special token go through the tokenizer itself, which no run without white space can tell from the
+them at once, in numpy. Words of other than plain Latin letters, with an apostrophe, of more than LONG
+bytes, or holding a special token go through the tokenizer itself, which no run without white space can tell from the
 whole text.
 """
 
@@ -19,6 +19,8 @@ from millrace.llm import hashing
 
 #: Distinct words that a worker keeps, and words merged together.
 KEPT, BATCH = 250_000, 8192
+#: Bytes of a word above which it goes through the tokenizer, as merging by arrays looks through it at each merge.
+LONG = 256
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _ASCII = np.zeros(256, dtype=bool)
@@ -163,7 +165,7 @@ class Words:
         tail = np.zeros(len(flat), dtype=bool)
         tail[1:] = lead[:-1]
         odd = ~(_ASCII[flat] | lead | tail) | (tail & ((flat == 0x97) | (flat == 0xB7)))
-        plain = np.bincount(word, odd, len(begin)) == 0
+        plain = (np.bincount(word, odd, len(begin)) == 0) & (length <= LONG)
         for k in np.flatnonzero(plain & (np.bincount(word, flat == 0x7C, len(begin)) > 0)):
             if any(s in bytes(flat[ends[k] - length[k] : ends[k]]).decode() for s in self.special):
                 plain[k] = False

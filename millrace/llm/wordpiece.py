@@ -85,9 +85,9 @@ class Automaton:
 
 def greedy_pieces(word: str, vocabulary: set[str]) -> list[str]:
     """The same by its definition, for tests: the longest piece at each place, or one character's bytes."""
-    text, out, at = MARK + word, [], 0
+    text, out, at, longest = MARK + word, [], 0, max(map(len, vocabulary), default=1)
     while at < len(text):
-        for end in range(len(text), at, -1):
+        for end in range(min(len(text), at + longest), at, -1):
             if text[at:end] in vocabulary:
                 out.append(text[at:end])
                 at = end
