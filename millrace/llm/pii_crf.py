@@ -1,18 +1,20 @@
 """Personal data: fixed patterns plus a linear-chain conditional random field over word shapes.
 
-The patterns give the base spans. The field reads white-space words by the shape of their
-characters, is trained on a small labelled table made by rule (`labelled_table`), and adds the
-spans of formats the patterns do not know (phone numbers without a plus sign, cards with other
-separators, written-out at signs). Added spans never touch a base span, and must pass the same
-arithmetic (Luhn, address ranges, digit counts).
+The patterns give the base spans. The field reads white-space words by the shape of their characters
+and by the word before, is trained on a small labelled table (`labelled_table`, made by rule; another
+can be given), and adds what the patterns do not know: phone numbers without a plus sign, cards with
+other separators, written-out at signs, numbers of a card's form that fail its check sum (`account`),
+and keys, tokens and passwords (`secret`). Added spans never touch a base span.
 
-Decoding is Viterbi over numpy batches of runs. A word without a digit or an at sign has one fixed
-emission; where its lead for O exceeds what any two transitions can change (`splits`), the best path
-is O there whatever stands beside it, so that each run between such words is decoded alone, exactly.
-Otherwise whole texts are decoded. Texts are never cut.
+Decoding is Viterbi over numpy batches of runs. A word without a digit or an at sign (a plain word)
+has one emission, learned as all others are. Where its lead for O exceeds what transitions can gain,
+one or two such words in a row (`gap`) are O on the best path whatever stands beside them, so that
+the runs between them are decoded alone, exactly. Otherwise whole texts are decoded.
 
 Null and empty texts have no spans. Very long texts and words are linear in their length: every
-pattern is anchored so that a failed start is not tried again inside the same run.
+pattern is anchored so that a failed start is not tried again inside the same run, and shapes are
+read from whole words. Repeated rows each have a row; ties between labels go to the first as listed.
+An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -20,17 +22,21 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_right
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.common import need
 
 #: The kinds, in the order in which spans of one start are listed.
 KINDS = ("email", "ip", "card", "phone")
-LABELS = ("O", *KINDS)
+#: Further kinds, which only the field gives; they are listed after those.
+MORE_KINDS = ("account", "secret")
+LABELS = ("O", *KINDS, "secret")
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -124,13 +130,30 @@ def labelled_table(seed: int = 11, rows: int = 700) -> list[tuple[list[str], lis
             [f"+{num(2)}", num(2), num(7)], [f"+{num(2)}", num(3), num(4), num(4)], [f"+{num(11)}"], [f"1-{a}-{b}-{c}"], [f"+{num(1)}-{a}-{b}-{c}"],
         ))
 
+    def key(alphabet: str, k: int) -> str:
+        return "".join(rng.choice(alphabet) for _ in range(k))
+
+    low, up, digits, hexes = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
+
+    def value() -> str:
+        return rng.choice((key(hexes, 32), key(hexes, 40), key(hexes, 40), key(hexes.upper(), 40), key(hexes, 64), key(low + digits, rng.randint(16, 40)), key(low + up + digits, rng.randint(16, 44)), f"sk-{key(low + up + digits, 32)}", f"ghp_{key(low + up + digits, 36)}", f"AKIA{key(up + digits, 16)}"))
+
+    def name() -> str:
+        return rng.choice(("token", "Token", "TOKEN", "key", "api_key", "secret", "password", "passwd", "auth", "credential"))
+
+    def secret() -> tuple[list[str], list[str]]:
+        quoted = rng.choice(('"{}"', '"{}"', "'{}'", "{}")).format(value())
+        named = rng.choice(([name(), "=", quoted], [name(), "=", quoted], [f"{name()}:", quoted], [f"{name()}=", quoted], [f"{name()}={quoted}"], [name(), "is", quoted]))
+        return named, ["O"] * (len(named) - 1) + ["secret"]
+
     def other() -> list[str]:
         return rng.choice((
             [num(1)], [num(2)], [num(3)], [num(4)], [num(5)], [num(6)], [num(7)], [num(8)], [num(9)], [num(10)], [num(10)], [num(11)], [num(13)], [num(22)], [f"{num(2)},{num(3)}"], [f"{num(1)}.{num(2)}"],
             [f"{num(1)}.{num(1)}.{num(1)}"], [f"v{num(1)}.{num(1)}.{num(2)}"], [f"{num(4)}-{num(2)}-{num(2)}"], [f"{num(2)}/{num(2)}/{num(4)}"],
             [f"{num(2)}:{num(2)}"], [f"{num(2)}%"], [f"${num(3)}"], [f"{num(2)}-{num(2)}"], [f"@{word()}"], [f"{word()}{num(2)}"], [f"{word()}={num(2)}{word()}{num(3)}{word()}"],
             [f"http://{word()}.com/{num(3)}"], [f"978-{num(1)}-{num(2)}-{num(6)}-{num(1)}"], [f"({num(4)})"], [f"[{num(1)}]"], [f"({num(1)})"], [f"({num(3)})", word()],
-            [num(2), num(2), num(3)], [num(4), num(4)], [num(3), num(3)], [f"AK{num(2)}XZ{num(1)}QW"], [f'"{num(3)}{word()}{num(7)}"'],
+            [num(2), num(2), num(3)], [num(4), num(4)], [num(3), num(3)], [f"AK{num(2)}XZ{num(1)}QW"], [word(), "=", num(4)], [word(), "=", f"{num(1)}.{num(2)}"], [word(), "=", f'"{word()}{num(1)}"'],
+            ["commit", key(hexes, 40)], ["commit", key(hexes, 7)], [word(), key(hexes, 40)], ["sha1", key(hexes, 40)], ["md5", key(hexes, 32)], [f"{key(hexes, 8)}-{key(hexes, 4)}-{key(hexes, 4)}-{key(hexes, 4)}-{key(hexes, 12)}"], [f"#{key(hexes, 6)}"], [f"0x{key(hexes, 8)}"],
         ))
 
     table = []
@@ -140,10 +163,10 @@ def labelled_table(seed: int = 11, rows: int = 700) -> list[tuple[list[str], lis
             for _ in range(rng.randint(0, 4)):
                 words.append(plain())
                 labels.append("O")
-            kind = rng.choice(("email", "ip", "card", "phone", "phone", "O", "O", "O"))
-            own = {"email": email, "ip": ip, "card": card, "phone": phone, "O": other}[kind]()
-            words += own[:-1] + [own[-1] + rng.choice(("", "", "", ".", ","))]
-            labels += [kind] * len(own)
+            kind = rng.choice(("email", "ip", "card", "phone", "phone", "secret", "O", "O", "O", "O"))
+            own, named = secret() if kind == "secret" else ((x := {"email": email, "ip": ip, "card": card, "phone": phone, "O": other}[kind]()), [kind] * len(x))
+            words += own[:-1] + [own[-1] + rng.choice(("", "", "", ".", ",", "!!", "###", "%%%"))]
+            labels += named
             if rng.random() < 0.75:
                 words.append(plain())
                 labels.append("O")
@@ -155,34 +178,68 @@ def labelled_table(seed: int = 11, rows: int = 700) -> list[tuple[list[str], lis
 
 _RUN = re.compile(r"[0-9]+|[a-z]+|[A-Z]+|[^\x00-\x7f]+|.", re.S)
 PLAIN = ("plain",)
-#: The fixed score of a plain word for every label but O.
-NEVER = -40.0
+#: What stands around a value and is no part of it.
+BEFORE, AFTER = "\"'<{", ".,;:!?\"'>}#$%&*|"
+_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+_LETTERS = re.compile(r"[a-z]+")
+#: Runs of one kind of character that a shape lists one by one; a word of more is only said to have many.
+RUNS = 16
+#: Times that a feature is in the labelled table at least, to have weights.
+LEAST_TIMES = 3
+#: Words and features that are kept, and the length of a word up to which they are.
+KEPT, SHORT = 50_000, 64
+
+
+def is_plain(word: str) -> bool:
+    return not _MARKED.search(word)
 
 
-@lru_cache(maxsize=50_000)
-def features(word: str) -> tuple[str, ...]:
-    """Names of the shape features of a word. Words without a digit, an at sign or the like all have the same."""
-    if not _MARKED.search(word[:400]) and not _MARKED.search(word):
+def features(word: str, before: str) -> tuple[str, ...]:
+    """Names of the shape features of a word after another. Plain words all have the same."""
+    if is_plain(word):
         return PLAIN
-    core = word.rstrip(".,;:!?")
-    exact, loose, digits = [], [], 0
-    for m in _RUN.finditer(core[:200]):  # a shape of more characters is no shape of the table; its digits are counted below
-        c = m.group()
+    return (*_shape(word), *_context(before)) if len(word) > SHORT else (*_kept_shape(word), *_context(before))
+
+
+def _context(before: str) -> tuple[str, ...]:
+    """The last letters of the word before, and the sign it ends with."""
+    if not before:
+        return ("first",)
+    if not is_plain(before[:SHORT]):
+        return ("after marked",)
+    found = _LETTERS.findall(before[-SHORT:].lower())
+    return (f"after {found[-1] if found else ''}", f"sign {before[-1] if before[-1] in '=:' else ''}")
+
+
+def _shape(word: str) -> tuple[str, ...]:
+    core = word.lstrip(BEFORE).rstrip(AFTER)
+    exact, loose, digits, letters, runs, last = [], [], 0, 0, 0, ""
+    for m in _RUN.finditer(core):
+        c, runs = m.group(), runs + 1
         if c[0].isdigit() and c.isascii():
-            exact.append(f"d{min(len(c), 20)}")
-            loose.append("d")
+            kind, shape, digits = "d", f"d{min(len(c), 20)}", digits + len(c)
         elif c.isalpha():
-            exact.append("x")
-            loose.append("x")
+            kind, shape, letters = "x", "x", letters + len(c)
         else:
-            exact.append(c)
-            loose.append(c)
-    digits = sum(c.isdigit() for c in core)
+            kind = shape = c if len(c) == 1 else "?"
+        if runs <= RUNS:
+            exact.append(shape)
+            loose += [kind] if kind != last else []
+        last = kind
+    many = "many" if runs > RUNS else ""
     size = next(k for k, most in enumerate((0, 1, 2, 3, 4, 6, 9, 11, 19, 1 << 60)) if digits <= most)
-    if len(core) > 200:
-        exact, loose = ["long"], ["long"]
-    loose = [x for i, x in enumerate(loose) if not (i and x == loose[i - 1])]
-    return ("marked", f"exact {' '.join(exact)}", f"loose {' '.join(loose)}", f"digits {size}", f"dots {min(core.count('.'), 5)}", f"at {'@' in core}", f"first {(loose or [''])[0]}", f"letters {'x' in loose}")
+    width = next(k for k, most in enumerate((6, 12, 15, 24, 48, 80, 1 << 60)) if len(core) <= most)
+    assigned = core.find("=")
+    tail = core[assigned + 1 :].lstrip(BEFORE) if assigned > 0 else core
+    kind = ("hex" if _HEX.fullmatch(tail) else "alnum") if tail.replace("_", "").replace("-", "").isalnum() and digits and letters else "none"
+    named = _LETTERS.findall(core[:assigned].lower())[-1:] if assigned > 0 else []
+    return (
+        "marked", f"exact {many or ' '.join(exact)}", f"loose {many or ' '.join(loose)}", f"digits {size}", f"dots {min(core.count('.'), 5)}", f"at {'@' in core}", f"first {(loose or [''])[0]}",
+        f"letters {letters > 0}", f"width {width}", f"mixed {kind} {width}", *(f"named {n}" for n in named),
+    )
+
+
+_kept_shape = lru_cache(maxsize=KEPT)(_shape)
 
 
 class Field:
@@ -190,27 +247,40 @@ class Field:
 
     def __init__(self, weights: dict[str, np.ndarray], moves: np.ndarray):
         self.weights, self.moves, self.cache = weights, moves, {}
-        plain = self.emission("plain")
-        gain = max(float(moves[a, y] + moves[y, b] - moves[a, 0] - moves[0, b]) for a in range(len(LABELS)) for b in range(len(LABELS)) for y in range(1, len(LABELS)))
-        edge = max(float(moves[a, y] - moves[a, 0]) for a in range(len(LABELS)) for y in range(1, len(LABELS)))
-        edge = max(edge, max(float(moves[y, b] - moves[0, b]) for b in range(len(LABELS)) for y in range(1, len(LABELS))))
-        #: Whether a plain word is O on every best path.
-        self.splits = float(plain[0] - plain[1:].max()) > max(gain, edge, 0.0)
-
-    def emission(self, word: str) -> np.ndarray:
-        out = self.cache.get(word)
+        #: Plain words in a row that are all O on every best path whatever stands around them: 1, 2, or 0 where that is not sure.
+        self.gap = self._gap(self.emission("plain", ""))
+
+    def _gap(self, plain: np.ndarray) -> int:
+        """By what the labels of a stretch of plain words can gain in transitions, against what O leads by in each word."""
+        m, every = self.moves, range(len(LABELS))
+        lead = float(plain[0] - plain[1:].max())
+        gain = {(a, b): max(float(m[a, y] + m[y, b] - m[a, 0] - m[0, b]) for y in every[1:]) for a in every for b in every}
+        into = max(float(m[a, y] - m[a, 0]) for a in every for y in every[1:])
+        out_of = max(float(m[y, b] - m[0, b]) for b in every for y in every[1:])
+        among = max(float(m[y, z] - m[0, 0]) for y in every[1:] for z in every[1:])
+        if lead <= max(0.0, into, out_of, among):
+            return 0
+        if lead > max(gain.values()):
+            return 1
+        beside_o = max(g for (a, b), g in gain.items() if a == 0 or b == 0)
+        return 2 if lead > beside_o and 2 * lead > into + out_of + max(0.0, among) else 0
+
+    def emission(self, word: str, before: str) -> np.ndarray:
+        own = features(word, before)
+        out = self.cache.get(own)
         if out is None:
-            out = sum((self.weights[f] for f in features(word) if f in self.weights), np.zeros(len(LABELS)))
-            if len(self.cache) > 100_000:
+            out = sum((self.weights[f] for f in own if f in self.weights), np.zeros(len(LABELS)))
+            if len(self.cache) >= KEPT:
                 self.cache.clear()
-            if len(word) < 100:
-                self.cache[word] = out
+            self.cache[own] = out
         return out
 
     @staticmethod
-    def train(table, steps: int = 140, rate: float = 0.15, decay: float = 1e-4) -> Field:
+    def train(table, steps: int = 160, rate: float = 0.3, decay: float = 1e-5) -> Field:
         """Maximum likelihood by Adam over the whole table, forward and backward sums in logs."""
-        names = sorted({f for words, _ in table for w in words for f in features(w)})
+        befores = [["", *words[:-1]] for words, _ in table]
+        times = Counter(f for (words, _), before in zip(table, befores, strict=True) for w, b in zip(words, before, strict=True) for f in features(w, b))
+        names = sorted(f for f, n in times.items() if n >= LEAST_TIMES)
         at = {f: i for i, f in enumerate(names)}
         rows, steps_of, width = len(table), max(len(w) for w, _ in table), len(LABELS)
         lengths = np.array([len(w) for w, _ in table])
@@ -220,13 +290,12 @@ class Field:
         for r, (words, labels) in enumerate(table):
             for t, (w, y) in enumerate(zip(words, labels, strict=True)):
                 gold[r, t] = LABELS.index(y)
-                kind[r, t] = kinds.setdefault(features(w), len(kinds))
+                kind[r, t] = kinds.setdefault(features(w, befores[r][t]), len(kinds))
         present = np.zeros((len(kinds), len(names)))
         for own, k in kinds.items():
-            present[k, [at[f] for f in own]] = 1
+            present[k, [at[f] for f in own if f in at]] = 1
         mask = np.arange(steps_of)[None, :] < lengths[:, None]
         theta = np.zeros((len(names) + width, width))
-        theta[at["plain"], 1:] = NEVER  # held there: a word without digits or an at sign is no personal data
         m, v = np.zeros_like(theta), np.zeros_like(theta)
         seen = np.zeros((rows * steps_of, width))
         seen[np.arange(rows * steps_of), gold.ravel()] = 1
@@ -259,13 +328,12 @@ class Field:
             joint = np.exp(ahead[:, :-1][:, :, :, None] + moves[None, None] + (emit[:, 1:] + back[:, 1:])[:, :, None, :] - z[:, None, None, None]) * both[:, :, None, None]
             grad[len(names) :] = pairs - joint.sum(axis=(0, 1))
             grad = grad / rows - decay * theta
-            grad[at["plain"]] = 0
             m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
             theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         return Field({f: theta[i].copy() for f, i in at.items()}, theta[len(names) :].copy())
 
-    def viterbi(self, runs: list[list[str]]) -> list[np.ndarray]:
-        """The best labels of each run of words. Runs of like length are decoded together."""
+    def viterbi(self, runs: list[list[tuple[str, str]]]) -> list[np.ndarray]:
+        """The best labels of each run of words, given with the word before each. Runs of like length are decoded together."""
         out: list = [None] * len(runs)
         order = sorted(range(len(runs)), key=lambda i: len(runs[i]))
         at = 0
@@ -279,8 +347,8 @@ class Field:
             emit = np.zeros((len(many), steps, len(LABELS)))
             lengths = np.array([len(runs[i]) for i in many])
             for r, i in enumerate(many):
-                for t, w in enumerate(runs[i]):
-                    emit[r, t] = self.emission(w)
+                for t, (w, before) in enumerate(runs[i]):
+                    emit[r, t] = self.emission(w, before)
             score, back = emit[:, 0].copy(), np.zeros((len(many), steps, len(LABELS)), dtype=np.int8)
             for t in range(1, steps):
                 options = score[:, :, None] + self.moves[None]
@@ -299,24 +367,36 @@ class Field:
         return out
 
 
-def runs_of(text: str, splits: bool) -> list[list[tuple[int, int]]]:
-    """Runs of neighbouring words to decode: those that are not plain, or all words of the text."""
+def runs_of(text: str, gap: int) -> list[list[tuple[int, int, int, int]]]:
+    """Runs of neighbouring words to decode, each word as its place and that of the word before.
+
+    Marked words with less than `gap` plain ones between them are in one run, which has a plain word
+    at both ends if there is one, as transitions from and to it count. Without a gap: all words.
+    """
     if not text or not (_ANY.search(text) or "at]" in text.lower() or "at)" in text.lower()):
         return []
-    if not splits:
-        words = [m.span() for m in _WORD.finditer(text)]
-        return [words] if words else []
-    out, own = [], []
+    out, own, plain, before = [], [], 0, (0, 0)
+    last = None  # the word before, if it is plain
     for m in _WORD.finditer(text):
-        if _MARKED.search(text, m.start(), m.end()):
-            own.append(m.span())
-        elif own:
-            out.append(own)
-            own = []
-    return [*out, own] if own else out
+        here = (*m.span(), *before)
+        before = m.span()
+        if not gap or _MARKED.search(text, *before):
+            if own and gap and plain >= gap:
+                out.append(own[: len(own) - gap + 1])
+                own = []
+            own += [*([last] if not own and last is not None else []), here]
+            plain, last = 0, None
+        else:
+            last = here
+            if own and plain < gap:
+                own.append(here)
+            plain += 1
+    if own:
+        out.append(own)
+    return out
 
 
-def _spans_of(text: str, words: list[tuple[int, int]], labels: np.ndarray) -> list[tuple[int, int, str]]:
+def _spans_of(text: str, words: list[tuple[int, int, int, int]], labels: np.ndarray) -> list[tuple[int, int, str]]:
     """Labelled words as spans: neighbouring words of one card or phone number together, without the punctuation around."""
     found, k = [], 0
     while k < len(words):
@@ -325,33 +405,45 @@ def _spans_of(text: str, words: list[tuple[int, int]], labels: np.ndarray) -> li
             k = j
             continue
         joins = LABELS[kind] in ("card", "phone")
-        while joins and j < len(words) and labels[j] == kind and not (LABELS[kind] == "phone" and text[words[j][0]] in "+("  and text[words[j - 1][0]] != "+"):
+        while joins and j < len(words) and labels[j] == kind and words[j][2] == words[j - 1][0] and not (LABELS[kind] == "phone" and text[words[j][0]] in "+(" and text[words[j - 1][0]] != "+"):
             j += 1
-        for a, b in [(words[k][0], words[j - 1][1])] if joins else [words[i] for i in range(k, j)]:
-            own = text[a:b]
-            a += len(own) - len(own.lstrip("\"'<[{,;:"))
-            own = text[a:b].rstrip(".,;:!?\"'>]}")
-            if own.endswith(")") and "(" not in own:
-                own = own[:-1]
-            if own.startswith("(") and ")" not in own:
-                a, own = a + 1, own[1:]
-            found.append((a, a + len(own), LABELS[kind]))
+        for a, b in [(words[k][0], words[j - 1][1])] if joins else [words[i][:2] for i in range(k, j)]:
+            a, b = _trimmed(text, a, b, LABELS[kind])
+            if b > a:
+                found.append((a, b, _kind_of(text[a:b], LABELS[kind])))
         k = j
-    return [x for x in found if _passes(text[x[0] : x[1]], x[2])]
-
-
-_ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+(?:@|[\[(]at[\])])[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", re.I)
-_NUMBERS = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?:[:/][0-9]+)?")
-
-
-def _passes(own: str, kind: str) -> bool:
+    return [x for x in found if x[2]]
+
+
+def _trimmed(text: str, a: int, b: int, kind: str) -> tuple[int, int]:
+    """A span without the marks around it; a secret without its name too."""
+    while a < b and text[a] in BEFORE + "[,;:":
+        a += 1
+    while a < b and text[b - 1] in AFTER + "]":
+        b -= 1
+    if a < b and text[b - 1] == ")" and "(" not in text[a:b]:
+        b -= 1
+    if a < b and text[a] == "(" and ")" not in text[a:b]:
+        a += 1
+    if kind == "secret" and 0 < (at := text.find("=", a, b)) < b - 1:
+        a = at + 1
+        while a < b and text[a] in BEFORE:
+            a += 1
+    return a, b
+
+
+def _kind_of(own: str, kind: str) -> str | None:
+    """The kind that a labelled span is given out as: what cannot be one by its digits is none, a card that fails its sum an account."""
+    digits = _NOT_DIGIT.sub("", own)
     if kind == "email":
-        return _ADDRESS.fullmatch(own) is not None
+        return kind if re.search(r"\w(?:@|[\[(]at[\])])\w", own, re.I) else None
     if kind == "ip":
-        return _NUMBERS.fullmatch(own) is not None and good_ip(re.split("[:/]", own)[0])
+        return kind if good_ip(".".join(re.findall("[0-9]+", own)[:4])) else None
     if kind == "card":
-        return not re.search(r"[^0-9 .\-]", own) and good_card(own)
-    return not re.search(r"[^0-9 ().+\-]", own) and good_phone(own, 10)
+        return (kind if luhn(digits) else "account") if 12 <= len(digits) <= 19 else None
+    if kind == "phone":
+        return kind if 10 <= len(digits) <= 15 else None
+    return kind if len(own) >= 8 else None
 
 
 def find(texts: list[str | None], field: Field) -> list[tuple[list, list]]:
@@ -359,29 +451,36 @@ def find(texts: list[str | None], field: Field) -> list[tuple[list, list]]:
     base = [base_spans(t or "") for t in texts]
     runs, owner = [], []
     for i, t in enumerate(texts):
-        for own in runs_of(t or "", field.splits):
+        for own in runs_of(t or "", field.gap):
             runs.append(own)
             owner.append(i)
-    labels = field.viterbi([[texts[i][a:b] for a, b in own] for i, own in zip(owner, runs, strict=True)])
+    labels = field.viterbi([[(texts[i][a:b], texts[i][c:d]) for a, b, c, d in own] for i, own in zip(owner, runs, strict=True)])
     more: dict[int, list] = {}
     for i, own, path in zip(owner, runs, labels, strict=True):
         if path.any():
             more.setdefault(i, []).extend(_spans_of(texts[i], own, path))
+    order = (*KINDS, *MORE_KINDS)
     out = []
     for i, own in enumerate(base):
-        if not (extra := more.get(i)):
-            out.append((own, own))
-            continue
-        ends, j, free = sorted((a, b) for a, b, _ in own), 0, []
-        for x in sorted(extra):
-            while j < len(ends) and ends[j][1] <= x[0] and ends[j][0] <= x[0]:
-                j += 1
-            if not any(a < x[1] and x[0] < b for a, b in ends[max(0, j - 4) :][: 8 + len(KINDS)]):
-                free.append(x)
-        out.append((own, sorted(own + free, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))))
+        free = apart(more.get(i, []), own)
+        out.append((own, sorted(own + free, key=lambda s: (s[0], order.index(s[2]), s[1])) if free else own))
     return out
 
 
+def apart(spans: list, others: list) -> list:
+    """Those of the spans that touch none of the others."""
+    if not others:
+        return sorted(spans)
+    starts, ends = [], []  # the others' union, as intervals apart from each other
+    for a, b, _ in sorted(others):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return [x for x in sorted(spans) if (k := bisect_right(starts, x[1] - 1)) == 0 or ends[k - 1] <= x[0]]
+
+
 def written(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
 
@@ -422,9 +521,17 @@ def _scan(held, redact: bool):
     return run
 
 
-def scan(docs: DataFrame, keep: list[str], redact: bool = False) -> DataFrame:
-    """The columns `keep` of docs, the text with spans replaced if asked for, counts by kind of the base spans, their hash, and all spans."""
-    field = trained()
+def labelled_rows(spark: SparkSession) -> DataFrame:
+    """The labelled table as a DataFrame: words array<string>, labels array<string>."""
+    return spark.createDataFrame(labelled_table(), "words array<string>, labels array<string>")
+
+
+def scan(docs: DataFrame, keep: list[str], redact: bool = False, labelled: DataFrame | None = None) -> DataFrame:
+    """The columns `keep` of docs, the text with spans replaced if asked for, counts by kind of the base spans, their hash, and all spans.
+
+    labelled: another table (words, labels) to train on; it is read whole, so it must be small.
+    """
+    field = trained() if labelled is None else Field.train(sorted((list(r["words"]), list(r["labels"])) for r in labelled.select("words", "labels").collect()))
     held = docs.sparkSession.sparkContext.broadcast((field.weights, field.moves))
     rows = need(docs, *keep, "text")
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if redact or f.name != "text")
