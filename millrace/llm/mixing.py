@@ -6,13 +6,18 @@
    the blocks of a source in the same way to its shards. The quotients of all blocks are never
    formed: rounding target / divisor gives all but a few seats, and only those few are contested.
 3. In a shard the documents lie on a line in seeded order. Its blocks are taken at a seeded start
-   and even steps, so that whole rounds of the line and then the quota's rest are spread over it;
-   each document's share follows from its two ends by arithmetic.
+   and even steps (systematic sampling: the seed orders the line and sets the start, the quota the
+   step), so that whole rounds of the line and then the quota's rest are spread over it; each
+   document's share follows from its two ends by arithmetic.
 
-Shards bound what one task orders: a hot source has as many as its mass needs.
+Shards bound what one task orders: a hot source has as many as its mass needs. A source's shards are
+allocated by way of REGIONS regions, so that no task allocates to more than REGIONS regions, or to
+the shards of more than one. Documents are dealt to shards by a hash of id and text, so that neither
+rows without an id nor rows of one id lie together; only rows equal in both do.
 
 Null texts have size 0 and are not taken. Null sources form the last source. Repeated rows and rows
-of equal doc_id are separate documents, ordered by text hash. An empty table gives an empty one.
+of equal doc_id are separate documents; ties on the line go by id, then size. Very long texts are
+counted as they stand. Extra columns are not read. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -26,6 +31,10 @@ from millrace.llm.common import WORD_PATTERN, cut, need
 BLOCK = 16
 #: Words that a shard holds at about; a shard is ordered by one task.
 SHARD = 2_000_000
+#: Regions that a source's shards are allocated by. A source of fewer shards has one in each.
+REGIONS = 1024
+#: Sources whose allocation is broadcast at most; that of more is joined by shuffle.
+FEW_SOURCES = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -83,21 +92,56 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), ceiling: int = 3,
     return place(docs, weights, ceiling, seed, block, shard).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def place(docs: DataFrame, weights=(5, 2, 1), ceiling=3, seed=7, block=BLOCK, shard=SHARD) -> DataFrame:
-    measured = need(docs, "doc_id", "source", "text").select("doc_id", "source", word_count(F.col("text")).alias("size"), F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))).alias("at"), F.xxhash64("text").alias("print"))
-    measured = cut(measured)  # one pass over the texts; from here on a few numbers a document
+def measure(docs: DataFrame, seed: int) -> DataFrame:
+    """(doc_id, source, size, at): what the mix needs of each document; at, 32 hex digits, is its seeded place."""
+    text = F.col("text")
+    at = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")))))
+    return need(docs, "doc_id", "source", "text").select("doc_id", "source", word_count(text).alias("size"), at.alias("at"))
+
+
+def allocate(measured: DataFrame, weights, ceiling: int, block: int) -> DataFrame:
+    """By source: s, source_size, target, and blocks, its seats by highest quotients of the targets."""
     aims = targets(measured.groupBy("source").agg(F.sum("size").alias("source_size")), weights, ceiling)
-    aims = aims.withColumn("n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard)).cast("long"))
     every = Window.partitionBy(F.lit(0))
     aims = sainte_lague(aims.withColumn("seats", F.round(F.sum("target").over(every) / block).cast("long")), [], ["source"], "target", "seats", "blocks")
-    aims = cut(aims.select(F.col("source").alias("s"), "source_size", "target", "n_shards", "blocks"))
-    rows = measured.join(aims, F.col("source").eqNullSafe(F.col("s")))
+    return cut(aims.select(F.col("source").alias("s"), "source_size", "target", "blocks"))
+
+
+def copies(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), ceiling: int = 3, seed: int = 7, block: int = BLOCK) -> DataFrame:
+    """docs with `copies`: how many times the mix holds each document, in whole documents.
+
+    A source's blocks, by Sainte-Lague, are so many rounds of its words. Each document comes as often
+    as there are whole rounds, and once more where a draw by the hash of its id and text is below
+    what is left over. Texts without a word, which no block can hold, come once. Only the allocation,
+    a row a source, meets the documents; no text is shuffled.
+    """
+    aims = allocate(measure(docs, seed), weights, ceiling, block)
+    rounds = F.when(F.col("source_size") > 0, F.least(F.lit(float(ceiling)), F.col("blocks") * block / F.col("source_size"))).otherwise(F.lit(1.0))
+    aims = aims.select(F.col("s").alias("_s"), rounds.alias("_rounds"))
+    if aims.count() <= FEW_SOURCES:
+        aims = F.broadcast(aims)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    draw = F.pmod(F.xxhash64(F.lit(f"copies{seed}"), F.col("doc_id"), text), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    whole = F.floor("_rounds")
+    n = F.when(~text.rlike(WORD_PATTERN), F.lit(1)).otherwise(whole + F.when(draw < F.col("_rounds") - whole, 1).otherwise(0))
+    given = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.join(aims, F.col("source").eqNullSafe(F.col("_s"))).select(*given, n.cast("int").alias("copies"))
+
+
+def place(docs: DataFrame, weights=(5, 2, 1), ceiling=3, seed=7, block=BLOCK, shard=SHARD) -> DataFrame:
+    measured = cut(measure(docs, seed))  # one pass over the texts; from here on a few numbers a document
+    aims = allocate(measured, weights, ceiling, block).withColumn("n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard)).cast("long"))
+    rows = measured.join(F.broadcast(aims) if aims.count() <= FEW_SOURCES else aims, F.col("source").eqNullSafe(F.col("s")))
     number = F.conv(F.substring("at", 1, 8), 16, 10).cast("long")
-    rows = rows.withColumn("shard", F.coalesce(F.pmod(number, F.col("n_shards")), F.lit(0)))
-    line = Window.partitionBy("s", "shard").orderBy("at", F.col("doc_id").asc_nulls_last(), "size", "print").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("shard", F.pmod(number, F.col("n_shards")))
+    line = Window.partitionBy("s", "shard").orderBy("at", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("start", F.coalesce(F.sum("size").over(line), F.lit(0)))
     shards = rows.groupBy("s", "shard").agg(F.sum("size").alias("length"), F.first("blocks").alias("blocks"))
-    shards = sainte_lague(shards, ["s"], ["shard"], "length", "blocks", "quota")
+    shards = shards.withColumn("region", F.col("shard") % REGIONS)
+    regions = shards.groupBy("s", "region").agg(F.sum("length").alias("length"), F.first("blocks").alias("blocks"))
+    regions = sainte_lague(regions, ["s"], ["region"], "length", "blocks", "seats").select(F.col("s").alias("s3"), F.col("region").alias("region3"), "seats")
+    shards = shards.join(regions, F.col("s").eqNullSafe(F.col("s3")) & (F.col("region") == F.col("region3"))).drop("s3", "region3")
+    shards = sainte_lague(shards, ["s", "region"], ["shard"], "length", "seats", "quota")
     # The line of a shard has whole blocks and a shorter last one; a quota counts full blocks' words.
     words = F.least(F.col("quota") * block, ceiling * F.col("length"))
     n_blocks = F.ceil(F.col("length") / block)

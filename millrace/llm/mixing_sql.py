@@ -1,8 +1,11 @@
-"""The mix of mixing.py as one DuckDB statement over `documents`, written out step by step."""
+"""The mix of mixing.py as one DuckDB statement over `documents`, written out step by step.
+
+Shards are allocated without regions, which gives the same up to mixing.REGIONS shards a source.
+"""
 
 SIZES = r"""
 SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-       md5('7:' || doc_id) AS h FROM documents"""
+       md5('7:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS h FROM documents"""
 
 MIX = f"""
 WITH m AS ({SIZES}),
@@ -22,7 +25,7 @@ c AS (SELECT source, gap, k, target / (2 * (CASE WHEN gap > 0 THEN base + k - 1
 r AS (SELECT *, row_number() OVER (ORDER BY -sign(gap) * q, source NULLS LAST, k) AS rank FROM c),
 won AS (SELECT source, sum(sign(gap))::BIGINT AS n FROM r WHERE rank <= abs(gap) GROUP BY source),
 a AS (SELECT t4.*, base + coalesce(n, 0) AS blocks FROM t4 LEFT JOIN won ON t4.source IS NOT DISTINCT FROM won.source),
-d AS (SELECT m.*, a.ss, a.target, a.blocks, coalesce(('0x' || substr(h, 1, 8))::BIGINT % n_shards, 0) AS shard
+d AS (SELECT m.*, a.ss, a.target, a.blocks, ('0x' || substr(h, 1, 8))::BIGINT % n_shards AS shard
       FROM m JOIN a ON m.source IS NOT DISTINCT FROM a.source),
 d2 AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY h, doc_id NULLS LAST, size
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM d),
