@@ -8,7 +8,10 @@ with that of the next higher band in its own tile, so that one tile has pairs to
 number: the frame of its first peak, then that peak's bin, the other's bin and the frames between
 them, so that an array of pairs is coded by time. Of two peaks in one frame the lower one is first.
 
-Null texts count as empty (64 zero bytes). Long texts are transformed in slabs of frames.
+Media are stored as a column of a table (`store`), from which the samples are read back (`features`).
+Null texts count as empty (64 zero bytes). Long texts are transformed in slabs of frames. Repeated
+rows each have a row; of equally loud points the earlier, then the lower one is the peak. Equal texts
+have equal media and fingerprints. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import need
+from millrace.llm.common import cut, need
 
 RATE, FRAME, HOP = 8000, 256, 128
 #: Frames and bins of a tile; bin 0 (the mean) is left out, which leaves 128 bins.
@@ -90,42 +93,55 @@ def fingerprint(samples: np.ndarray) -> np.ndarray:
     return np.sort(np.concatenate(out))
 
 
-_NAMES = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "fingerprint"]
-
-
-def _code(with_media: bool):
-    def run(batches):
-        for batch in batches:
-            for k in range(0, batch.num_rows, 200):
-                part = batch.slice(k, 200)
-                rows: list[list] = [[] for _ in _NAMES]
-                stored = []
-                for text in part.column(part.num_columns - 1).to_pylist():
-                    raw = (text or "").encode()
-                    media = to_wav(payload_of(raw))
-                    back = from_wav(media)
-                    values = (len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), fingerprint(np.frombuffer(back, dtype=np.uint8)))
-                    for column, x in zip(rows, values, strict=True):
-                        column.append(x)
-                    stored.append(media if with_media else None)
-                arrays = [pa.array(x, pa.string() if n.endswith("sha256") else pa.int64()) for n, x in zip(_NAMES[:-1], rows, strict=False)]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in rows[-1]])]).astype(np.int32)
-                arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows[-1]) if rows[-1] else np.zeros(0, np.int64))))
-                if with_media:
-                    arrays.append(pa.array(stored, pa.binary()))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *arrays], names=[*part.schema.names[:-1], *_NAMES, *["media"] * with_media])
-
-    return run
-
-
-def media(docs: DataFrame, keep: list[str], with_media: bool = False) -> DataFrame:
-    """The columns `keep` of docs(text, ...) with the payload's and the media's measures, the fingerprint, and the media if asked for."""
+_NAMES = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "fingerprint"]
+
+
+def _store(batches):
+    for batch in batches:
+        for k in range(0, batch.num_rows, 200):
+            part = batch.slice(k, 200)
+            raw = [(text or "").encode() for text in part.column(part.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(map(len, raw), pa.int64()), pa.array([to_wav(payload_of(x)) for x in raw], pa.binary())], names=[*part.schema.names[:-1], "n_bytes", "media"])
+
+
+def _features(batches):
+    for batch in batches:
+        for k in range(0, batch.num_rows, 200):
+            part = batch.slice(k, 200)
+            rows: list[list] = [[] for _ in _NAMES]
+            for media_ in part.column(part.num_columns - 1):
+                media_ = media_.as_py()
+                back = from_wav(media_)
+                values = (len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media_), hashlib.sha256(media_).hexdigest(), fingerprint(np.frombuffer(back, dtype=np.uint8)))
+                for column, x in zip(rows, values, strict=True):
+                    column.append(x)
+            arrays = [pa.array(x, pa.string() if n.endswith("sha256") else pa.int64()) for n, x in zip(_NAMES[:-1], rows, strict=False)]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in rows[-1]])]).astype(np.int32)
+            arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows[-1]) if rows[-1] else np.zeros(0, np.int64))))
+            yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=[*part.schema.names, *_NAMES])
+
+
+def _kind(rows: DataFrame, leave: str | None = None) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != leave)
+
+
+def store(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns `keep` of docs(text, ...), n_bytes and media, the text as WAV: to be written as a table."""
     rows = need(docs, *keep, "text")
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    kind += ", n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, fingerprint array<long>" + ", media binary" * with_media
-    return rows.mapInArrow(_code(with_media), kind)
+    return rows.mapInArrow(_store, f"{_kind(rows, 'text')}, n_bytes long, media binary")
+
+
+def features(stored: DataFrame) -> DataFrame:
+    """The columns of a stored table (media last) with what is read back from its media, and the fingerprint."""
+    kind = f"{_kind(stored)}, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, fingerprint array<long>"
+    return stored.mapInArrow(_features, kind)
+
+
+def media(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """store() written to the shared folder, and features() of what was written: with media and fingerprint columns."""
+    return features(cut(store(docs, keep)))
 
 
 def digest(df: DataFrame) -> DataFrame:
-    """The fingerprint as a short string: its number of pairs and a hash of them."""
-    return df.withColumn("feature", F.concat_ws(":", F.size("fingerprint").cast("string"), F.hex(F.xxhash64("fingerprint")))).drop("fingerprint")
+    """A feature column: the fingerprint's number of pairs and a hash of them. The media, which the stored table has, are left out."""
+    return df.withColumn("feature", F.concat_ws(":", F.size("fingerprint").cast("string"), F.hex(F.xxhash64("fingerprint")))).drop("media")
