@@ -4,6 +4,12 @@ Statistics of every whole text are Spark expressions. A bounded sample of labell
 SAMPLE of them, the smallest by hash of doc_id) comes to the driver as numbers; there rules are grown
 condition by condition (FOIL gain) on one part and pruned on the other (RIPPER's measure), each
 taking the bad rows it covers out of the sample. The list becomes one ordered conditional expression.
+
+Null and empty texts have statistics of 0 and fail the base. A label that is repeated counts as often
+as it is, also with a repeated document; labels that differ for one id each count. Rows without a
+label, and labels without a document, teach nothing; without labels there are no rules. Ties between
+conditions go to the first statistic, then to the smallest threshold, then to `above`. Repeated rows
+each have a row, and very long texts are read whole. An empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -270,7 +270,7 @@ def test_sainte_lague_highest_quotients(spark):
 def test_media_round_trip_and_equal_texts(frame):
     from millrace.llm import media
 
-    rows = {r["doc_id"]: r for r in media.media(frame(EDGES), ["doc_id"], with_media=True).collect()}
+    rows = {r["doc_id"]: r for r in media.media(frame(EDGES), ["doc_id"]).collect()}
     for i, t in enumerate(EDGES):
         raw = (t or "").encode()
         payload = raw + bytes(-len(raw) % 64 if raw else 64)
@@ -293,6 +293,37 @@ def test_fingerprints_of_short_texts():
     assert all(list(p) == sorted(p) for p in prints)
 
 
+def test_fingerprint_by_definition(frame, spark):
+    """Peak pairs of tiles by loops over a plain Fourier sum, against the operator's array."""
+    from millrace.llm import media as M
+
+    rng = np.random.default_rng(3)
+    for n in (64, 1152, 3000):
+        x = rng.integers(0, 256, n).astype(np.uint8)
+        frames = max(1, -(-(n - M.FRAME) // M.HOP) + 1)
+        tiles = -(-frames // M.TILE_FRAMES)
+        held = np.full((tiles * M.TILE_FRAMES - 1) * M.HOP + M.FRAME, 128.0)
+        held[:n] = x
+        t = np.arange(M.FRAME)
+        waves = np.exp(-2j * np.pi * np.outer(np.arange(1, 129), t) / M.FRAME)
+        loud = np.array([np.abs(waves @ ((held[k * M.HOP : k * M.HOP + M.FRAME] - 128) * (0.5 - 0.5 * np.cos(2 * np.pi * t / M.FRAME)))) for k in range(tiles * M.TILE_FRAMES)])
+        peak = {}
+        for tile in range(tiles):
+            for band in range(8):
+                f, b = max(((f, b) for f in range(tile * M.TILE_FRAMES, (tile + 1) * M.TILE_FRAMES) for b in range(band * M.TILE_BINS, (band + 1) * M.TILE_BINS)), key=lambda p: loud[p])
+                peak[tile, band] = (f, b + 1)
+        pairs = [(peak[i, j], peak[i + 1, j + up]) for i in range(tiles - 1) for j in range(8) for up in (0, 1) if j + up < 8]
+        for i in range(tiles):
+            for j in range(7):
+                a, b = peak[i, j], peak[i, j + 1]
+                pairs.append((a, b) if a[0] <= b[0] else (b, a))
+        want = sorted(a[0] << 32 | a[1] << 16 | b[1] << 8 | (b[0] - a[0]) for a, b in pairs)
+        assert M.fingerprint(x).tolist() == want
+    assert M.media(spark.createDataFrame([], DOCS), ["doc_id"]).collect() == []
+    twice = M.digest(M.media(frame([(1, "a", None, None, 0)] * 3), ["doc_id"])).collect()
+    assert len(twice) == 3 and len({r["feature"] for r in twice}) == 1 and "media" not in twice[0]
+
+
 def test_peaks_of_a_tone():
     from millrace.llm import media
 
@@ -315,10 +346,45 @@ def test_license_alignment(frame):
     words = L.TEMPLATES["mit"].split()
     changed = " ".join("other" if i % 10 == 3 else w for i, w in enumerate(words))
     assert [m[0] for m in scan(changed)] == ["mit"] and 0.85 < scan(changed)[0][1] < 0.95
+    whole = {m[0] for m in scan(L.TEMPLATES["bsd-3-clause"])}
+    assert {"bsd", "bsd-3-clause"} <= whole and not whole & {"mit", "mit-whole", "zlib"}
     assert scan("a license to program free software") == []
     assert L.matches(frame(EDGES), ["doc_id"]).collect() == []
 
 
+@pytest.mark.parametrize("name", ["apache-2.0-notice", "cc-by-sa-4.0-notice", "mpl-2.0", "isc", "cc0-notice"])
+def test_license_scan_against_all_windows(name):
+    """Texts with edited notices: a match is found where, and only where, one of all windows has one."""
+    from millrace.llm import licenses as L
+
+    rng, scan, template = random.Random(7), L.scanner({name: L.TEMPLATES[name]}, 0.8), L.Template(name, L.TEMPLATES[name], 0.8)
+    size, slack, hits = len(template.words), max(3, len(template.words) // 4), 0
+    for k in range(60):
+        share = rng.choice([0, 0.05, 0.1, 0.15, 0.2, 0.25, 0.4])
+        own = []
+        for w in L.TEMPLATES[name].split(" "):
+            if rng.random() < share:
+                own += rng.choice([[], ["other"], [w, "more"]])
+            else:
+                own.append(w)
+        text = f"{prose(k, 25)} {' '.join(own)} {prose(k + 99, 25)}"
+        words = L.words_of(text)[0]
+        best = max(len(L.align(words[a : a + size + 2 * slack], template.words)) for a in range(max(1, len(words) - size)))
+        assert bool(scan(text)) == (best >= template.least), (share, best, template.least)
+        hits += best >= template.least
+    assert 15 < hits < 60
+
+
+def test_license_edges(frame, spark):
+    from millrace.llm import licenses as L
+
+    notice = L.TEMPLATES["cc-by-nc-4.0-notice"]
+    assert L.matches(spark.createDataFrame([], DOCS), ["doc_id"]).collect() == []
+    rows = [(1, notice, None, None, 0)] * 3 + [(2, None, None, None, 0), (3, "", None, None, 0), (4, prose(1, 50_000) + " " + notice, None, None, 0), (5, "w" * 200_000, None, None, 0)]
+    got = L.matches(frame(rows), ["doc_id"]).collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 1, 1, 4] and {r["license"] for r in got} == {"cc-by-nc-4.0-notice"}
+
+
 def test_patience_pairs_are_increasing_and_lis_longest():
     from itertools import combinations
 
@@ -356,6 +422,36 @@ def test_statistics_by_brute_force(frame, spark):
         assert r["base_failed"] == (want[0] < 10 or 100 * want[4] > 20 * want[0])
 
 
+def test_decision_list_edges_and_held_out(frame, spark):
+    from millrace.llm import decision_rules as D
+
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert D.judge(spark.createDataFrame([], DOCS), none).collect() == []
+    rows = rows_of([prose(i, 40) if i % 2 else " ".join(f"{w}##" if i % 3 else w for w in prose(i, 40).split()) for i in range(240)])
+    bad = lambda i: i % 2 == 0 and i % 3 != 0
+    learned = [(i, int(not bad(i)), 0) for i in range(240) if i % 5] * 2 + [(1, 0, 0)]  # each label twice, and one that says the contrary
+    labels = spark.createDataFrame(learned, "doc_id long, quality int, toxic int")
+    out = {r["doc_id"]: r["kept"] for r in D.judge(frame(rows * 2), labels).collect()}
+    held_out = [i for i in range(240) if not i % 5]
+    assert sum(out[i] == (not bad(i)) for i in held_out) >= 0.95 * len(held_out)
+    assert D.judge(frame(rows * 2), labels).count() == 480
+
+
+def test_verdicts_by_rules_one_by_one(frame, spark):
+    """kept and rule of every row, by the learned list read in Python, against the conditional expression."""
+    from millrace.llm import decision_rules as D
+
+    rows = rows_of([*EDGES, *(" ".join(w + "#$%"[: i % 4] for w in prose(i, 20 + i).split()) for i in range(80))])
+    labels = spark.createDataFrame([(i, int(i % 4 < 2), 0) for i in range(len(rows))], "doc_id long, quality int, toxic int")
+    rules = D.fit(frame(rows), labels)
+    named = D.ratios()
+    for r in D.judge(frame(rows), labels).select("*", *(c.alias(f"_{k}") for k, c in named.items())).collect():
+        values = {k: r[f"_{k}"] for k in named}
+        first = next((k for k, rule in enumerate(rules, 1) if D.covers(rule, values)), None)
+        assert r["rule"] == first and r["kept"] == (not r["base_failed"] and first is None)
+    assert rules
+
+
 def test_decision_list_separates(frame, spark):
     from millrace.llm import decision_rules as D
 
