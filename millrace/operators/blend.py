@@ -77,18 +77,24 @@ def mix_table(spark: SparkSession, tokens: int) -> DataFrame:
     return spark.createDataFrame([(s, i, t) for i, (s, t) in enumerate(char_targets(tokens).items())], "source string, ord int, target_chars long")
 
 
-BUCKETS = 64
+#: Ranges of the order, of like numbers of rows, that running sums are cut into by key.
+BUCKETS = 128
 
 
 def running(df: DataFrame, keys: list[str], order: str, value: str, out: str) -> DataFrame:
-    """df with `out`: the sum of `value` over rows of the same keys that come before by `order` (a whole number, unique by key).
+    """df with `out`: the sum of `value` over rows of the same keys that come before by `order` (unique by key).
 
-    Rows are cut into BUCKETS ranges of the order by key; bucket totals are a small table, and the
+    Rows are cut into BUCKETS ranges of the order by key, at its approximate quantiles, so that each
+    has a like number of rows however the order is spread; bucket totals are a small table, and the
     running sum proper is within a bucket.
     """
-    range_of = df.groupBy(*keys).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-    df = df.join(range_of, keys)
-    df = df.withColumn("_b", F.floor((F.col(order) - F.col("_lo")) * BUCKETS / (F.col("_hi") - F.col("_lo") + 1)).cast("int")).drop("_lo", "_hi")
+    cuts = F.array(*(F.lit(k / BUCKETS) for k in range(1, BUCKETS)))
+    edges = df.groupBy(*keys).agg(F.percentile_approx(order, cuts, F.lit(50 * BUCKETS)).alias("_edges"))
+    edges = edges.select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.array_distinct("_edges").alias("_edges"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    df = df.join(edges, same).withColumn("_b", F.size(F.filter("_edges", lambda e: e < F.col(order)))).drop("_edges", *(f"_k_{k}" for k in keys))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     totals = df.groupBy(*keys, "_b").agg(F.sum(value).alias("_t")).withColumn("_before", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
     inside = Window.partitionBy(*keys, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -128,10 +134,13 @@ def split(docs: DataFrame, seed: str = "42", fraction: float = VAL_FRACTION, lea
     want = n_val(F.sum("_n").over(whole), fraction, least)
     want = F.least(want, F.sum("_n").over(whole) - 1) if clamp else want
     counts = counts.withColumn("_want", want).withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    left = counts.where("_before < _want").select("_p", (F.col("_want") - F.col("_before")).alias("_left"))
-    out = rows.join(left, "_p", "left")
+    left = counts.where("_before < _want").select("_p", (F.col("_want") - F.col("_before")).alias("_left"), "_n")
+    rows = rows.join(F.broadcast(left), "_p", "left")  # 65 536 rows at most
+    contested = (F.col("_left") < F.col("_n")) & F.col("_left").isNotNull()
     rank = F.row_number().over(Window.partitionBy("_p").orderBy("_h", "doc_id"))
-    return out.withColumn("split", F.when(rank <= F.coalesce("_left", F.lit(0)), "val").otherwise("train")).drop("_h", "_p", "_left")
+    ranked = rows.where(contested).withColumn("split", F.when(rank <= F.col("_left"), "val").otherwise("train"))
+    whole = rows.where(~contested).withColumn("split", F.when(F.col("_left").isNull(), "train").otherwise("val"))
+    return whole.unionByName(ranked).drop("_h", "_p", "_left", "_n")
 
 
 def blend_stats(blended: DataFrame) -> DataFrame:

@@ -93,36 +93,54 @@ def incremental_dedup(spark, d):
     return dedup.new_only(docs.where("source <> 'src0'"), seen).select("doc_id", "hash")
 
 
-_GRAMS = f"""SELECT doc_id, source, list_distinct({Q.ngrams('w', 5)}) AS g FROM (SELECT doc_id, source, {Q.words(Q.normalize("coalesce(text, '')"))} AS w FROM documents)"""
-_BANDS = " UNION ALL ".join(
-    f"SELECT doc_id, source, {b}::BIGINT AS band, " + " || '-' || ".join(f"list_min(list_transform(g, lambda z: {Q.portable_hash('z', f'{b * 2 + r}:')}))::VARCHAR" for r in range(2)) + " AS key FROM g WHERE len(g) > 0"
-    for b in range(2)
-)
-_SIGNATURES = f"WITH g AS ({_GRAMS}) {_BANDS}"
-_EDGES = f"SELECT DISTINCT src, dst FROM (SELECT min(doc_id) OVER (PARTITION BY source, band, key) AS src, doc_id AS dst FROM ({_SIGNATURES})) WHERE src <> dst"
+_GRAMS = f"""SELECT doc_id, source, list_distinct(list_transform({Q.ngrams('w', 5)}, lambda z: {Q.portable_hash('z')} % {dedup.PRIME})) AS g FROM (SELECT doc_id, source, {Q.words(Q.normalize("coalesce(text, '')"))} AS w FROM {{docs}})"""
+_AB = "(VALUES " + ", ".join(f"({i // dedup.ROWS}, {i}, {a}::BIGINT, {b}::BIGINT)" for i, (a, b) in enumerate(dedup.functions(dedup.BANDS * dedup.ROWS))) + ") f(band, i, a, b)"
 
 
-@register(_SIGNATURES)
+def signatures_sql(docs: str = "documents") -> str:
+    return f"""SELECT doc_id, source, band::BIGINT AS band, string_agg(least::VARCHAR, '-' ORDER BY i) AS key FROM (
+SELECT doc_id, source, band, i, min((x * a + b) % {dedup.PRIME}) AS least FROM (SELECT doc_id, source, unnest(g) AS x FROM ({_GRAMS.replace('{docs}', docs)})), {_AB} GROUP BY ALL) GROUP BY doc_id, source, band"""
+
+
+def edges_sql(docs: str = "documents") -> str:
+    return f"SELECT DISTINCT src, dst FROM (SELECT min(doc_id) OVER (PARTITION BY source, band, key) AS src, doc_id AS dst FROM ({signatures_sql(docs)})) WHERE src <> dst"
+
+
+def clusters_sql(docs: str = "documents") -> str:
+    return f"""WITH RECURSIVE e AS MATERIALIZED ({edges_sql(docs)}), b AS MATERIALIZED (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
+r(doc_id, other) AS (SELECT src, src FROM b UNION SELECT r.doc_id, b.dst FROM r JOIN b ON r.other = b.src) SELECT doc_id, min(other) AS cluster FROM r GROUP BY doc_id"""
+
+
+@register(signatures_sql())
 def minhash_bands(spark, d):
-    return dedup.portable_signatures(docs_of(spark, d))
+    return dedup.signatures(docs_of(spark, d))
 
 
-@register(_EDGES)
+@register(edges_sql())
 def minhash_edges(spark, d):
-    return dedup.star_edges(dedup.portable_signatures(docs_of(spark, d)))
+    return dedup.star_edges(dedup.signatures(docs_of(spark, d)))
 
 
-@register(f"""WITH RECURSIVE e AS MATERIALIZED ({_EDGES}), b AS MATERIALIZED (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
-r(doc_id, other) AS (SELECT src, src FROM b UNION SELECT r.doc_id, b.dst FROM r JOIN b ON r.other = b.src) SELECT doc_id, min(other) AS cluster FROM r GROUP BY doc_id""")
+@register(clusters_sql())
 def minhash_clusters(spark, d):
-    return dedup.clusters(dedup.star_edges(dedup.portable_signatures(docs_of(spark, d))))
+    return dedup.clusters(dedup.star_edges(dedup.signatures(docs_of(spark, d))))
 
 
-@register()
+def fuzzy_sql(docs: str = "documents") -> str:
+    return f"SELECT d.doc_id, d.source, coalesce(c.cluster, d.doc_id) AS cluster, coalesce(c.cluster, d.doc_id) = d.doc_id AS kept FROM {docs} d LEFT JOIN ({clusters_sql(docs)}) c USING (doc_id)"
+
+
+@register(fuzzy_sql())
 def fuzzy_dedup(spark, d):
     return dedup.fuzzy_survivors(docs_of(spark, d))
 
 
+@register(f"""WITH x AS (SELECT doc_id FROM ({Q.EXACT}) WHERE NOT kept), rest AS (SELECT * FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM x))
+SELECT doc_id, 'exact' AS stage FROM x UNION ALL SELECT doc_id, 'near' FROM ({fuzzy_sql('rest')}) WHERE NOT kept""")
+def removed_documents(spark, d):
+    return dedup.removed(docs_of(spark, d)).select("doc_id", "stage")
+
+
 # ---- blend, split
 
 
@@ -139,21 +157,28 @@ def char_targets(spark, d):
     return out
 
 
-@register()
+_DOC_CHARS = ", ".join(f"('{k}', {v})" for k, v in blend.DOC_CHARS.items())
+_SHARES = ", ".join(f"('{k}', {v / 100.0!r}::DOUBLE, 1.0::DOUBLE)" for k, v in blend.DATA_MIX.items() if k != "code") + ", " + ", ".join(f"('{k}', {blend.DATA_MIX['code'] / 100.0!r}::DOUBLE, {v / 100.0!r}::DOUBLE)" for k, v in blend.CODE_SUBMIX.items())
+_MINI = ", ".join(f"('{k}', {v}::BIGINT)" for k, v in blend.MINI_CAPS.items())
+
+
+@register(f"""SELECT t.target, s.source, floor(t.tokens * (s.p * s.q) * 4.3::DOUBLE / c.chars * CASE s.source WHEN 'wikipedia' THEN 3.0::DOUBLE WHEN 'synthetic_arithmetic' THEN 1.5::DOUBLE ELSE 5.0::DOUBLE END)::BIGINT AS max_docs,
+CASE WHEN s.source = 'common_crawl' THEN greatest(1, ceil(floor(t.tokens * 0.1::DOUBLE * 4.3::DOUBLE) / 17000000))::BIGINT END AS segments, t.tokens * t.epochs AS consumed_tokens, m.cap AS mini_cap
+FROM (VALUES ('mini', 1000000::BIGINT, 1), ('125m', 5500000000, 2), ('350m', 15000000000, 2), ('1b', 30000000000, 1)) t(target, tokens, epochs), (VALUES {_SHARES}) s(source, p, q) LEFT JOIN (VALUES {_DOC_CHARS}) c(source, chars) USING (source) JOIN (VALUES {_MINI}) m(source, cap) USING (source)""")
 def download_plan(spark, d):
     rows = [(t, s, blend.doc_cap(s, t), blend.crawl_segments(n) if s == "common_crawl" else None, blend.consumed_tokens(t), blend.MINI_CAPS[s]) for t, n in blend.CORPUS_TOKENS.items() for s in blend.SOURCES]
     return spark.createDataFrame(rows, "target string, source string, max_docs long, segments long, consumed_tokens long, mini_cap long")
 
 
-#: A mix over the table's own sources: budgets by number, with src4 absent from the table's rows and src0 the sink.
-_AIMS = "SELECT 'src' || i AS source, (20000 + 4000 * i)::BIGINT AS target_chars FROM range(20) r(i)"
+#: A mix over the table's own sources and one that it has not: budgets by number, src0 the sink.
+_AIMS = "SELECT CASE WHEN i = 20 THEN 'absent' ELSE 'src' || i END AS source, (20000 + 4000 * i)::BIGINT AS target_chars FROM range(21) r(i)"
 
 
 def aims(spark):
-    return spark.range(20).select(F.concat(F.lit("src"), F.col("id").cast("string")).alias("source"), (20000 + 4000 * F.col("id")).alias("target_chars"))
+    return spark.range(21).select(F.when(F.col("id") == 20, "absent").otherwise(F.concat(F.lit("src"), F.col("id").cast("string"))).alias("source"), (20000 + 4000 * F.col("id")).alias("target_chars"))
 
 
-_CHARS = "SELECT doc_id, source, length(coalesce(text, ''))::BIGINT AS chars FROM documents WHERE source <> 'src4'"
+_CHARS = "SELECT doc_id, source, length(coalesce(text, ''))::BIGINT AS chars FROM documents"
 _CAP = f"""SELECT *, before < target_chars AS kept FROM (SELECT c.doc_id, c.source, chars, target_chars,
 coalesce(sum(chars) OVER (PARTITION BY c.source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM ({_CHARS}) c JOIN ({_AIMS}) a ON c.source = a.source)"""
 _BLEND = f"""WITH c AS ({_CAP}), s AS (SELECT source, max(target_chars) AS t, coalesce(sum(chars) FILTER (kept), 0) AS used FROM c GROUP BY source),
@@ -162,7 +187,7 @@ SELECT c.*, source = 'src0' AND NOT kept AND before + chars > sink_used AND befo
 
 
 def capped_docs(spark, d):
-    return blend.chars(docs_of(spark, d)).where("source <> 'src4'")
+    return blend.chars(docs_of(spark, d))
 
 
 @register(_CAP)
@@ -265,20 +290,24 @@ def perplexity_quantiles(spark, d):
     return stats.quantiles(scored.where("perplexity < 10000"), "source", "perplexity", (0.1, 0.5, 0.9, 0.99))
 
 
-@register(f"""WITH x AS (SELECT doc_id, t, length(t) AS n, {Q.lines('t')} AS ls, list_filter(list_transform(regexp_split_to_array(t, '\\n\\n+'), lambda p: {Q.strip('p')}), lambda p: p <> '') AS ps, {Q.words('t')} AS w FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+_REPETITION = f"""WITH x AS (SELECT doc_id, t, length(t) AS n, {Q.lines('t')} AS ls, list_filter(list_transform(regexp_split_to_array(t, '\\n\\n+'), lambda p: {Q.strip('p')}), lambda p: p <> '') AS ps, {Q.words('t')} AS w FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
 g AS ({' UNION ALL '.join(f"SELECT doc_id, n, {k} AS k, unnest({Q.ngrams('w', k)}) AS g FROM x" for k in (2, 3, 4))}),
 c AS (SELECT doc_id, k, g, count(*) AS m, max(n) AS n FROM g GROUP BY doc_id, k, g),
 p AS (SELECT doc_id, max(length(g) * m / n) FILTER (k = 2) AS top_2, max(length(g) * m / n) FILTER (k = 3) AS top_3, max(length(g) * m / n) FILTER (k = 4) AS top_4 FROM c WHERE m > 1 GROUP BY doc_id)
 SELECT doc_id, round(coalesce((len(ls) - len(list_distinct(ls))) / nullif(len(ls), 0), 0), 6) AS dup_line, round(coalesce((len(ps) - len(list_distinct(ps))) / nullif(len(ps), 0), 0), 6) AS dup_para,
 round(coalesce((length(array_to_string(ls, '')) - length(array_to_string(list_distinct(ls), ''))) / nullif(n, 0), 0), 6) AS dup_line_char,
 round(coalesce((length(array_to_string(ps, '')) - length(array_to_string(list_distinct(ps), ''))) / nullif(n, 0), 0), 6) AS dup_para_char,
-round(coalesce(top_2, 0), 6) AS top_2, round(coalesce(top_3, 0), 6) AS top_3, round(coalesce(top_4, 0), 6) AS top_4 FROM x LEFT JOIN p USING (doc_id)""")
+round(coalesce(top_2, 0), 6) AS top_2, round(coalesce(top_3, 0), 6) AS top_3, round(coalesce(top_4, 0), 6) AS top_4 FROM x LEFT JOIN p USING (doc_id)"""
+
+
+@register(_REPETITION)
 def repetition_measures(spark, d):
     m = validate.repetition(docs_of(spark, d))
     return m.select("doc_id", *(F.round(c, 6).alias(c) for c in ("dup_line", "dup_para", "dup_line_char", "dup_para_char", "top_2", "top_3", "top_4")))
 
 
-@register()
+@register(f"""SELECT doc_id, CASE WHEN dup_para > 0.3 THEN 'dup_para_frac' WHEN dup_para_char > 0.2 THEN 'dup_para_char_frac' WHEN dup_line > 0.3 THEN 'dup_line_frac' WHEN dup_line_char > 0.2 THEN 'dup_line_char_frac'
+WHEN top_2 > 0.2 THEN 'top_2_gram' WHEN top_3 > 0.18 THEN 'top_3_gram' WHEN top_4 > 0.16 THEN 'top_4_gram' END AS reason FROM ({_REPETITION.replace(', 6)', ', 12)')})""")
 def repetition_filter(spark, d):
     return validate.repetition(docs_of(spark, d)).select("doc_id", validate.repetition_reason().alias("reason"))
 
@@ -501,9 +530,9 @@ def replicated(spark, d):
     return chat.replicate(table(spark, d, "benchmark").select("item_id")).groupBy("copy").agg(F.count("*").alias("n"))
 
 
-@register("SELECT item_id, replace(template, '{q}', substr(text, 1, 30)) AS prompt FROM benchmark, (VALUES ('{q}'), ('Answer briefly: {q}'), ('Just answer: {q}')) t(template)")
+@register("SELECT item_id, replace(template, '{q}', text) AS prompt FROM benchmark, (VALUES ('{q}'), ('Answer briefly: {q}'), ('Just answer: {q}')) t(template)")
 def prompt_templates(spark, d):
-    q = table(spark, d, "benchmark").select("item_id", F.substring("text", 1, 30).alias("q"))
+    q = table(spark, d, "benchmark").select("item_id", F.col("text").alias("q"))
     return chat.cross(q, spark.createDataFrame([("{q}",), ("Answer briefly: {q}",), ("Just answer: {q}",)], "template string"))
 
 
@@ -534,6 +563,79 @@ def pages_to_text(spark, d):
     return records.pages(table(spark, d, "pages")).select("page_id", "url", "site", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"))
 
 
+# ---- source formatters, over raw columns made of the tables
+
+_STRIPPED = Q.strip("coalesce(text, '')")
+
+
+def raw_docs(spark, d):
+    """The documents as raw rows of several sources: text, url, titles, a subset, metadata as JSON."""
+    i = F.col("doc_id")
+    return docs_of(spark, d).select(
+        F.concat(F.lit("  "), "text", F.lit("\n")).alias("text"), i.alias("id"), F.concat(F.lit("http://"), "source", F.lit(".org/"), i).alias("url"), F.when(i % 3 > 0, F.lit("CC-1")).alias("dump"), F.col("lang").alias("language"),
+        F.concat(F.lit("T"), i).alias("title"), F.concat(F.lit("B"), i).alias("short_book_title"), (1800 + i % 100).alias("publication_date"), F.element_at(F.array(*map(F.lit, ("s2orc/train", "s2ag", "other/x"))), (i % 3 + 1).cast("int")).alias("source"),
+        F.when(i % 4 == 0, "not json").when(i % 4 == 1, F.lit('{"subdomain": "math"}')).when(i % 4 == 2, F.lit('{"extraction_info": {"subdomain": "algebra"}}')).alias("metadata"), F.lit("2020-01-01").alias("date"),
+    )
+
+
+@register(f"SELECT md5(t) AS text, 'fineweb' AS source, 'http://' || source || '.org/' || doc_id AS url, CASE WHEN doc_id % 3 > 0 THEN 'CC-1' ELSE '' END AS dump, coalesce(lang, '') AS language FROM (SELECT *, {_STRIPPED} AS t FROM documents) WHERE length(t) >= 200")
+def source_web(spark, d):
+    return records.web(raw_docs(spark, d)).withColumn("text", F.md5("text"))
+
+
+@register(f"SELECT md5(t) AS text, 'wikipedia' AS source, 'T' || doc_id AS title, 'http://' || source || '.org/' || doc_id AS url FROM (SELECT *, {_STRIPPED} AS t FROM documents) WHERE length(t) >= 1000")
+def source_encyclopedia(spark, d):
+    return records.encyclopedia(raw_docs(spark, d)).withColumn("text", F.md5("text"))
+
+
+@register(f"SELECT md5(t) AS text, 'pg19' AS source, 'B' || doc_id AS title, (1800 + doc_id % 100)::VARCHAR AS publication_date, 'http://' || source || '.org/' || doc_id AS url FROM (SELECT *, {_STRIPPED} AS t FROM documents) WHERE length(t) >= 10000")
+def source_books(spark, d):
+    return records.books(raw_docs(spark, d)).withColumn("text", F.md5("text"))
+
+
+@register(f"SELECT md5(t) AS text, 'pes2o' AS source, doc_id::VARCHAR AS paper_id, CASE doc_id % 3 WHEN 0 THEN 's2orc' ELSE 's2ag' END AS subset FROM (SELECT *, {_STRIPPED} AS t FROM documents) WHERE doc_id % 3 < 2 AND length(t) >= 500")
+def source_papers(spark, d):
+    return records.papers(raw_docs(spark, d)).withColumn("text", F.md5("text"))
+
+
+@register(f"SELECT md5(t) AS text, 'open_web_math' AS source, 'http://' || source || '.org/' || doc_id AS url, '2020-01-01' AS date, CASE doc_id % 4 WHEN 1 THEN 'math' WHEN 2 THEN 'algebra' ELSE '' END AS subdomain FROM (SELECT *, {_STRIPPED} AS t FROM documents) WHERE length(t) >= 200")
+def source_math_pages(spark, d):
+    return records.math_pages(raw_docs(spark, d)).withColumn("text", F.md5("text"))
+
+
+@register(f"SELECT md5(t) AS text, 'jupyter' AS source, 'r' || doc_id AS repo FROM (SELECT *, {_STRIPPED} AS t FROM documents) WHERE length(t) >= 500")
+def source_notebooks(spark, d):
+    i = F.col("doc_id")
+    raw = docs_of(spark, d).select(F.when(i % 2 == 0, F.col("text")).otherwise("").alias("text"), F.col("text").alias("content"), F.concat(F.lit("r"), i).alias("repo_name"))
+    return records.notebooks(raw).withColumn("text", F.md5("text"))
+
+
+@register(f"SELECT md5(t) AS text, 'stack_v1' AS source, lang AS language, source AS repo, 'p' || doc_id AS path FROM (SELECT *, {_STRIPPED} AS t FROM documents) WHERE lang IN ('en', 'fr') AND length(t) >= 50")
+def source_code_files(spark, d):
+    raw = docs_of(spark, d).select(F.col("text").alias("content"), F.col("lang").alias("language"), F.lit("").alias("max_stars_repo_name"), F.col("source").alias("repository_name"), F.concat(F.lit("p"), "doc_id").alias("max_stars_repo_path"), F.lit(None).cast("string").alias("path"))
+    return records.code_files(raw, languages=("en", "fr")).withColumn("text", F.md5("text"))
+
+
+@register(f"""SELECT md5('# ' || replace(i, chr(10), chr(10) || '# ') || chr(10) || s) AS text, 'conala' AS source, 'python' AS language, item_id::VARCHAR AS question_id
+FROM (SELECT item_id, {Q.strip("text || chr(10) || 'second line ' || item_id")} AS i, {Q.strip("'x = ' || item_id || ' * 1000000'")} AS s FROM benchmark) WHERE length(i) >= 10 AND length(s) >= 10""")
+def source_intents(spark, d):
+    i = F.col("item_id").cast("string")
+    raw = table(spark, d, "benchmark").select(F.when(F.col("item_id") % 2 == 0, F.lit("")).otherwise(F.concat("text", F.lit("\nsecond line "), i)).alias("rewritten_intent"), F.concat("text", F.lit("\nsecond line "), i).alias("intent"), F.concat(F.lit("x = "), i, F.lit(" * 1000000")).alias("snippet"), i.alias("question_id"))
+    return records.intents(raw).withColumn("text", F.md5("text"))
+
+
+@register(f"""SELECT 'Q: ' || md5(q) || ' A: ' || md5(a) AS text, 'stackexchange' AS source, 'math' AS site, id::VARCHAR AS question_id FROM (SELECT conv_id AS id, {Q.strip("max(text) FILTER (role = 'user')")} AS q, {Q.strip("arg_max(text, (turn % 5 + 1, -turn)) FILTER (role = 'assistant')")} AS a
+FROM conversations GROUP BY conv_id) WHERE q <> '' AND a <> '' AND length(q) + length(a) + 8 >= 200""")
+def source_question_answers(spark, d):
+    rows = table(spark, d, "conversations")
+    answer = F.struct("turn", F.struct(F.col("text").alias("text"), (F.col("turn") % 5 + 1).cast("string").alias("pm_score")).alias("a"))
+    raw = rows.groupBy(F.col("conv_id").alias("qid")).agg(F.max(F.when(F.col("role") == "user", F.col("text"))).alias("question"), F.array_sort(F.collect_list(F.when(F.col("role") == "assistant", answer))).alias("l"))
+    raw = raw.select("qid", "question", F.transform("l", lambda x: x["a"]).alias("answers"), F.array(F.lit("https://math.stackexchange.com/q/1")).alias("metadata"))
+    out = records.question_answers(raw)
+    parts = F.split(F.substring("text", 4, 1 << 30), "\n\nA: ")
+    return out.withColumn("text", F.concat(F.lit("Q: "), F.md5(F.get(parts, F.lit(0))), F.lit(" A: "), F.md5(F.get(parts, F.lit(1)))))
+
+
 @register("SELECT event_type, count(*) AS n, sum(try_cast(json_extract_string(props, '$.k') AS BIGINT))::BIGINT AS total FROM events GROUP BY event_type")
 def json_fields(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(F.get_json_object("props", "$.k").try_cast("bigint")).alias("total"))
@@ -603,7 +705,7 @@ def eval_pivot(spark, d):
     return stats.eval_pivot(scores, ["click", "view"], "m0").select("model", "click", "view", "click_delta")
 
 
-@register()
+@register("SELECT * FROM (VALUES ('a', 0.6::DOUBLE), ('b', 0.4::DOUBLE), ('c', 0.3::DOUBLE), ('d', NULL)) t(task, score)")
 def metric_resolution(spark, d):
     rows = spark.createDataFrame([("a", {"acc,none": 0.5, "acc_norm,none": 0.6}), ("b", {"acc": 0.4}), ("c", {"em,x": 0.3, "em_stderr,x": 0.1}), ("d", {})], "task string, results map<string,double>")
     return rows.select("task", stats.resolve_metric(F.col("results"), ("acc_norm", "acc", "em")).alias("score"))

@@ -29,7 +29,8 @@ def funnel(docs: DataFrame) -> DataFrame:
     """By source with documents left: raw, filtered, and after exact dedup of what was filtered."""
     rows = docs.select("doc_id", "source", "text")
     raw = rows.groupBy("source").agg(F.count("*").alias("raw"))
-    left = dedup.exact_survivors(quality.quality_filter(rows)).groupBy("source").agg(F.count("*").alias("filtered"), F.count_if("kept").alias("deduped"))
+    judged = dedup.cut(dedup.hashed(quality.quality_filter(rows)))  # the filter and the hash once; ids and hashes from here on
+    left = dedup.survivors_of(judged).groupBy("source").agg(F.count("*").alias("filtered"), F.count_if("kept").alias("deduped"))
     return left.join(raw, "source").select("source", "raw", "filtered", "deduped")
 
 
@@ -39,11 +40,17 @@ def stream_dedup(spark: SparkSession, path: str) -> DataFrame:
     if not base:
         import tempfile
 
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(base)
     base = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
     schema = spark.read.parquet(path).schema
-    streaming.dedup_into(spark.readStream.schema(schema).parquet(f"{path}*"), f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    reader = spark.readStream.schema(schema)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isFile():  # a stream reads folders
+        reader, path = reader.option("pathGlobFilter", where.getName()), where.getParent().toString()
+    streaming.dedup_into(reader.parquet(path), f"{base}/table", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/table").select("hash", "doc_id")
 
 

@@ -115,7 +115,7 @@ def intents(df: DataFrame, least: int = 10) -> DataFrame:
     """An intent as a comment above its snippet."""
     intent, snippet = T.strip(or_empty("rewritten_intent", "intent")), T.strip(or_empty("snippet"))
     df = df.where((F.length(intent) >= least) & (F.length(snippet) >= least))
-    return _gate(df, "conala", F.concat(F.lit("# "), intent, F.lit("\n"), snippet), 1, language=F.lit("python"), question_id=F.col("question_id").cast("string"))
+    return _gate(df, "conala", F.concat(C.comment_lines(intent, F.lit("#")), F.lit("\n"), snippet), 1, language=F.lit("python"), question_id=F.col("question_id").cast("string"))
 
 
 def pages(df: DataFrame, least: int = MIN_LENGTH["common_crawl"]) -> DataFrame:
