@@ -28,7 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
         old, edges = edges, cut(small)
         release(old)
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
-        if before == now:
+        if before == now or not now[0]:
             break
         before = now
     return edges.groupBy("u").agg(F.min("v").alias("comp")).select(F.col("u").alias("node"), "comp").unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
