@@ -8,6 +8,7 @@ is no single window partition.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -64,12 +65,21 @@ def consumed_tokens(target: str) -> int:
     return CORPUS_TOKENS[target] * EPOCHS[target]
 
 
-def mix_faults(mix: dict[str, float] | None = None, submix: dict[str, float] | None = None, sink: str = OVERFLOW_SINK) -> list[str]:
-    """What is wrong with a mix: shares that do not sum to 100, an unknown sink, names in both levels."""
+#: What a target must say, and the older names of two of them.
+TARGET_KEYS = ("corpus_tokens", "epochs", "crawls", "display_corpus")
+ALIASES = {"total_tokens": "corpus_tokens", "display_tokens": "display_corpus"}
+
+
+def mix_faults(mix: dict[str, float] | None = None, submix: dict[str, float] | None = None, sink: str = OVERFLOW_SINK, targets: dict[str, dict] | None = None, mini: dict[str, int] | None = None) -> list[str]:
+    """What is wrong with a mix: shares that do not sum to 100, an unknown sink, names in both levels; targets without a key or with an alias that differs; caps of unknown sources."""
     mix, submix = DATA_MIX if mix is None else mix, CODE_SUBMIX if submix is None else submix
     out = [f"{n} sums to {sum(m.values())}" for n, m in (("mix", mix), ("submix", submix)) if abs(sum(m.values()) - 100) > 1e-6]
-    out += [f"unknown sink {sink}"] if sink not in mix and sink not in submix else []
-    return out + [f"{s} is in both" for s in sorted(set(mix) & set(submix))]
+    out += [f"unknown sink {sink}"] if sink not in mix else []
+    out += [f"{s} is in both" for s in sorted(set(mix) & set(submix))]
+    for name, target in (targets or {}).items():
+        out += [f"{name} lacks {k}" for k in TARGET_KEYS if k not in target]
+        out += [f"{name}: {old} differs from {new}" for old, new in ALIASES.items() if old in target and target[old] != target.get(new)]
+    return out + [f"unknown source {s}" for s in sorted(set(mini or {}) - set(mix) - set(submix))]
 
 
 def mix_table(spark: SparkSession, tokens: int) -> DataFrame:
@@ -121,8 +131,8 @@ def n_val(n: Column, fraction: float = VAL_FRACTION, least: int = 1) -> Column:
     return F.greatest(F.lit(least), F.floor(n * F.lit(fraction)))
 
 
-def split(docs: DataFrame, seed: str = "42", fraction: float = VAL_FRACTION, least: int = 1, clamp: bool = False) -> DataFrame:
-    """docs with `split`: exactly n_val rows in hash order are 'val', the rest 'train'.
+def split(docs: DataFrame, seed: str = "42", fraction: float = VAL_FRACTION, least: int = 1, rule: Callable[[Column], Column] | None = None) -> DataFrame:
+    """docs with `split`: exactly n_val rows in hash order are 'val', the rest 'train'. A rule gives another number of the whole.
 
     The threshold is found by counts over hash prefixes (65 536 at most), and only the rows of the
     prefix that it falls into are ranked.
@@ -131,8 +141,8 @@ def split(docs: DataFrame, seed: str = "42", fraction: float = VAL_FRACTION, lea
     rows = docs.withColumn("_h", h).withColumn("_p", F.substring("_h", 1, 4))
     counts = rows.groupBy("_p").agg(F.count("*").alias("_n"))
     whole = Window.partitionBy(F.lit(0))
-    want = n_val(F.sum("_n").over(whole), fraction, least)
-    want = F.least(want, F.sum("_n").over(whole) - 1) if clamp else want
+    n = F.sum("_n").over(whole)
+    want = rule(n) if rule else n_val(n, fraction, least)
     counts = counts.withColumn("_want", want).withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     left = counts.where("_before < _want").select("_p", (F.col("_want") - F.col("_before")).alias("_left"), "_n")
     rows = rows.join(F.broadcast(left), "_p", "left")  # 65 536 rows at most

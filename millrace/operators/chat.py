@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from millrace.functions import code as C
 from millrace.functions import text as T
@@ -203,3 +204,29 @@ def drop_rates(pairs: DataFrame) -> DataFrame:
 
 def n_val_pairs(n: Column, fraction: float = 0.05) -> Column:
     return F.when(n < 500, F.greatest(F.lit(1), F.floor(n * fraction))).otherwise(F.greatest(F.lit(500), F.floor(n * fraction)))
+
+
+def n_val_chat(n: Column, fraction: float = 0.02) -> Column:
+    """Validation rows of chat data: a share of them, 1 000 at least, whatever there are."""
+    return F.least(n, F.greatest(F.lit(1000), F.floor(n * fraction)))
+
+
+def n_val_code(n: Column, fraction: float = 0.05) -> Column:
+    """Validation rows of code data: a share of them, 500 at least, but one row stays for training."""
+    return F.least(F.greatest(F.lit(500), F.floor(n * fraction)), F.greatest(F.lit(1), n - 1))
+
+
+def text_of(df: DataFrame, name: str) -> Column:
+    """A column's text whatever its type: a text itself, the last element of an array, the content of a message; else ''."""
+    kind = df.schema[name].dataType
+    value = F.col(name)
+    if isinstance(kind, ArrayType):
+        value, kind = F.try_element_at(value, F.lit(-1)), kind.elementType
+    if isinstance(kind, StructType):
+        value = value["content"] if "content" in kind.names else F.lit("")
+    return F.coalesce(value.cast("string"), F.lit(""))
+
+
+def reasons(judged: DataFrame) -> DataFrame:
+    """Rows of code_pairs() by type and reason, kept ones under 'kept'."""
+    return judged.groupBy("sft_type", F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))

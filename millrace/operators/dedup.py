@@ -50,10 +50,14 @@ def source_rank(order: list[str] | None = None) -> Column:
     return F.coalesce(F.regexp_extract("source", r"(\d+)$", 1).try_cast("int"), F.lit(0))
 
 
-def hashed(docs: DataFrame, order: list[str] | None = None, bypass: tuple[str, ...] = ("synthetic_arithmetic",)) -> DataFrame:
-    """(doc_id, source, rank, hash, skip): what exact dedup needs of each row."""
+def hash_columns(order: list[str] | None = None, bypass: tuple[str, ...] = ("synthetic_arithmetic",)) -> list[Column]:
+    """doc_id, source, rank, hash and skip: what exact dedup needs of each row."""
     skip = F.coalesce(F.col("source").isin(*bypass), F.lit(False)) if bypass else F.lit(False)
-    return docs.select("doc_id", "source", source_rank(order).alias("rank"), T.exact_hash(T.text_or_empty("text")).alias("hash"), skip.alias("skip"))
+    return [F.col("doc_id"), F.col("source"), source_rank(order).alias("rank"), T.exact_hash(T.text_or_empty("text")).alias("hash"), skip.alias("skip")]
+
+
+def hashed(docs: DataFrame, order: list[str] | None = None, bypass: tuple[str, ...] = ("synthetic_arithmetic",)) -> DataFrame:
+    return docs.select(*hash_columns(order, bypass))
 
 
 def survivors_of(rows: DataFrame) -> DataFrame:
@@ -103,24 +107,37 @@ def _permuted(a: int, b: int):
     return lambda x: (x * F.lit(a) + F.lit(b)) % F.lit(PRIME)
 
 
-def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, gram: int = GRAM) -> DataFrame:
-    """(doc_id, source, band, key): the bands of a MinHash signature over word n-grams. Fewer than `gram` words: none.
+def band_keys(bands: int = BANDS, rows: int = ROWS, gram: int = GRAM) -> Column:
+    """The bands of a MinHash signature over word n-grams of `text`, as an array of (band, key); empty for fewer than `gram` words.
 
     Each n-gram is hashed once, by MD5; the functions are whole-number arithmetic on that, which
     other engines do alike.
     """
     grams = T.ngrams(T.words(T.normalize(T.text_or_empty("text"))), gram)
-    base = docs.select("doc_id", "source", F.array_distinct(F.transform(grams, lambda g: F.pmod(T.portable_hash(g), F.lit(PRIME)))).alias("g")).where("size(g) > 0")
-    least = [F.array_min(F.transform("g", _permuted(a, b))) for a, b in functions(bands * rows)]
-    keys = [F.struct(F.lit(k).alias("band"), F.concat_ws("-", *(x.cast("string") for x in least[k * rows : (k + 1) * rows])).alias("key")) for k in range(bands)]
-    return base.select("doc_id", "source", F.explode(F.array(*keys)).alias("b")).select("doc_id", "source", "b.band", "b.key")
+    hashes = F.array_distinct(F.transform(grams, lambda g: F.pmod(T.portable_hash(g), F.lit(PRIME))))
+
+    def keys(g: Column) -> Column:
+        least = [F.array_min(F.transform(g, _permuted(a, b))) for a, b in functions(bands * rows)]
+        return F.array(*(F.struct(F.lit(k).alias("band"), F.concat_ws("-", *(x.cast("string") for x in least[k * rows : (k + 1) * rows])).alias("key")) for k in range(bands)))
+
+    return F.filter(T.let(hashes, keys), lambda b: b["key"] != "")
+
+
+def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, gram: int = GRAM) -> DataFrame:
+    """(doc_id, source, band, key): the band_keys() of docs(doc_id, source, text), a row each."""
+    return docs.select("doc_id", "source", F.explode(band_keys(bands, rows, gram)).alias("b")).select("doc_id", "source", "b.band", "b.key")
 
 
 def star_edges(sig: DataFrame) -> DataFrame:
-    """(src, dst): each member of a bucket with its least id; linear in the bucket. Buckets are known by hashes of their keys."""
-    sig = cut(sig.where("doc_id is not null").select("doc_id", F.xxhash64("source", "band", "key").alias("bucket")))
-    least = sig.groupBy("bucket").agg(F.min("doc_id").alias("src"), F.max("doc_id").alias("most")).where("src <> most")
-    return sig.join(least.drop("most"), "bucket").where("doc_id <> src").select("src", F.col("doc_id").alias("dst")).distinct()
+    """(src, dst) of signatures(): see bucket_edges. Buckets are known by hashes of their keys."""
+    return bucket_edges(cut(sig.select("doc_id", F.xxhash64("source", "band", "key").alias("bucket"))))
+
+
+def bucket_edges(rows: DataFrame) -> DataFrame:
+    """(src, dst): each member of a bucket with its least id; linear in the bucket. rows(doc_id, bucket) are read twice."""
+    rows = rows.where("doc_id is not null")
+    least = rows.groupBy("bucket").agg(F.min("doc_id").alias("src"), F.max("doc_id").alias("most")).where("src <> most")
+    return rows.join(least.drop("most"), "bucket").where("doc_id <> src").select("src", F.col("doc_id").alias("dst")).distinct()
 
 
 def clusters(edges: DataFrame) -> DataFrame:

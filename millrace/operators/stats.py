@@ -147,3 +147,29 @@ def overlap(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
     grams = lambda df, *keep: df.select(*keep, F.explode(T.ngrams(T.words(T.normalize(T.text_or_empty("text"))), n)).alias("g"))
     known = grams(benchmark).distinct()
     return grams(docs, "doc_id").join(known, "g", "left_semi").groupBy("doc_id").agg(F.count_distinct("g").alias("shared"))
+
+
+def mix_markdown(realized: DataFrame) -> DataFrame:
+    """(ord, line): target_vs_realized() as the lines of a Markdown table, by source."""
+    row = F.concat(F.lit("| `"), "source", F.lit("` | "), F.format_string("%.1f%% | %.2f%% |", F.col("target_pct"), F.col("realized_pct")))
+    body = realized.select(F.row_number().over(Window.orderBy("source")).alias("ord"), row.alias("line"))  # a row a source
+    head = realized.sparkSession.createDataFrame([(-1, "| Source | Target share | Realized share |"), (0, "|---|---|---|")], "ord int, line string")
+    return head.unionByName(body)
+
+
+def benchmark_scores(meta: DataFrame, tasks: DataFrame, groups: DataFrame) -> DataFrame:
+    """(key, score) of meta(key, task): the task's score, else that of the group of its name; without either no row."""
+    out = meta.join(tasks.select("task", F.col("score").alias("_t")), "task", "left").join(groups.select("task", F.col("score").alias("_g")), "task", "left")
+    return out.select("key", F.coalesce("_t", "_g").alias("score")).where("score is not null")
+
+
+def learning_rate(step: Column, max_steps: int, peak: float, warmup: int) -> Column:
+    """Linear warm-up, then a half cosine down to nothing at max_steps."""
+    through = F.least(F.lit(1.0), (step - warmup) / F.lit(max(1, max_steps - warmup)))
+    return F.when(step < warmup, peak * step / F.lit(max(1, warmup))).otherwise(peak * 0.5 * (1 + F.cos(F.pi() * through)))
+
+
+def micro_batch(budget_gb: Column, state_gb: Column, per_sequence_gb: Column, target: Column, power_of_two: bool = True) -> Column:
+    """The largest batch that memory has room for, up to the target, one at least; a power of two if asked for."""
+    most = F.greatest(F.lit(1), F.least(F.greatest(F.lit(0), F.floor((budget_gb - state_gb) / per_sequence_gb)), target))
+    return F.pow(F.lit(2), F.length(F.bin(most)) - 1).cast("bigint") if power_of_two else most

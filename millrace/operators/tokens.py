@@ -73,6 +73,33 @@ def n_examples(n_tokens: Column, seq: int, stride: int) -> Column:
     return F.when(n_tokens >= seq, F.floor((n_tokens - seq) / stride) + 1).otherwise(F.lit(0))
 
 
+def token_budget(tokens: DataFrame, seq: int, stride: int | None = None) -> DataFrame:
+    """One row: tokens, training examples and their tokens, the share of the stream that they use, and the tail kept for evaluation."""
+    one = tokens.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)).cast("bigint").alias("n_tokens"))
+    n = n_examples(F.col("n_tokens"), seq, stride or seq)
+    one = one.withColumn("examples", n.cast("bigint")).withColumn("training_tokens", F.col("examples") * seq)
+    return one.withColumn("utilization", F.round(F.col("training_tokens") / F.greatest("n_tokens", F.lit(1)), 6)).withColumn("eval_tokens", eval_tail(F.col("n_tokens"), seq))
+
+
+def eval_tail(n_tokens: Column, seq: int) -> Column:
+    """Tokens of the evaluation tail: 1 % of the whole windows, four windows at least, in whole windows."""
+    whole = F.floor(n_tokens / seq) * seq
+    return (F.floor(F.greatest(F.lit(4 * seq), F.floor(whole / 100)) / seq) * seq).cast("bigint")
+
+
+#: The special tokens in the order of their ids.
+SPECIALS = (
+    "<PAD>", "<UNK>", "<BOS>", "<EOS>", "<|system|>", "<|user|>", "<|assistant|>", "<|endofturn|>", "<|code|>", "<|endofcode|>",
+    "<|tool|>", "<|endoftool|>", "<|reasoning|>", "<|endofreasoning|>", "<|context|>", "<|endofcontext|>",
+)
+
+
+def misplaced_specials(vocabulary: DataFrame) -> DataFrame:
+    """(token, expected, id) of the special tokens that vocabulary(token, id) has under another id, or not at all."""
+    wanted = vocabulary.sparkSession.createDataFrame([(t, i) for i, t in enumerate(SPECIALS)], "token string, expected long")
+    return wanted.join(vocabulary.select("token", F.col("id").cast("long").alias("id")), "token", "left").where(~F.col("id").eqNullSafe(F.col("expected")))
+
+
 def stream_stats(tokens: DataFrame) -> DataFrame:
     """One row: documents, tokens, least and largest id, BOS and EOS counts, whether each is framed."""
     framed = (F.element_at("ids", 1) == BOS) & (F.element_at("ids", -1) == EOS)
@@ -97,11 +124,6 @@ def eos_gap(tokens: DataFrame) -> DataFrame:
     return one.select("n_eos", ((F.col("n") - F.col("first")) / F.nullif(F.col("n_eos") - 1, F.lit(0))).alias("mean_gap"))
 
 
-def tail_split(df: DataFrame, n_tokens: int, seq: int) -> int:
-    """Tokens of the evaluation tail: the larger of four windows and 1 %, in whole windows."""
-    return -(-max(4 * seq, n_tokens // 100) // seq) * seq
-
-
 def word_counts(docs: DataFrame, pattern: str = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\s]+") -> DataFrame:
     """(token, n): what a vocabulary is trained from, counted with map-side sums."""
     return docs.select(F.explode(F.regexp_extract_all(T.text_or_empty("text"), F.lit(f"({pattern})"), F.lit(1))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
@@ -140,3 +162,7 @@ def fertility(docs: DataFrame, n_tokens: Column) -> DataFrame:
     return docs.agg((F.sum(n_tokens) / F.nullif(F.sum(n_words), F.lit(0))).alias("fertility"))
 
 
+def fertility_by(docs: DataFrame, n_tokens: Column, least_words: int = 10) -> DataFrame:
+    """The mean over documents of tokens a word, by source; of texts with more than `least_words`."""
+    n = F.size(T.words(F.col("text")))
+    return docs.where(n > least_words).groupBy("source").agg(F.round(F.avg(n_tokens / n), 6).alias("fertility"))

@@ -113,3 +113,13 @@ def c4(docs: DataFrame, min_sentences: int = 3) -> DataFrame:
 def language_ok(label: Column, score: Column, least: float = 0.65) -> Column:
     """Whether a predicted label passes as English; a missing prediction passes."""
     return F.coalesce((label == "en") & (score >= least), F.lit(True))
+
+
+def stats_json(counted: DataFrame, threshold: float | None = None) -> DataFrame:
+    """counters() as one JSON text: the totals, the threshold, and the same by split."""
+    names = [c for c in counted.columns if c != "split"]
+    own = F.struct(*(F.col(c) for c in names))
+    by = F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("split").isNotNull(), F.struct("split", own.alias("v"))))))
+    total = F.max(F.when(F.col("split").isNull(), own))
+    one = counted.agg(total.alias("t"), by.alias("splits"))
+    return one.select(F.to_json(F.struct(*(F.col(f"t.{c}").alias(c) for c in names), F.lit(threshold).cast("double").alias("perplexity_threshold"), "splits")).alias("stats"))

@@ -243,9 +243,22 @@ def flatten_records(spark, d):
     return flat.select(F.col("meta")["id"].cast("long").alias("doc_id"), F.size("meta").alias("n_keys"), F.col("meta")["lang"].alias("lang"), F.col("meta")["id"].alias("id"))
 
 
-@register("SELECT 0::BIGINT AS faults")
+@register("SELECT * FROM (VALUES ('own', 0::BIGINT), ('shares', 1), ('submix', 1), ('sink', 1), ('overlap', 2), ('keys', 1), ('aliases', 2), ('mini', 1)) t(mix, faults)")
 def mix_integrity(spark, d):
-    return spark.createDataFrame([(len(blend.mix_faults()),)], "faults long")
+    """Faults of the mix as it is, and of mixes with one thing wrong each."""
+    mix, sub = blend.DATA_MIX, blend.CODE_SUBMIX
+    target = {"corpus_tokens": 5, "epochs": 1, "crawls": ("a",), "display_corpus": "5"}
+    cases = {
+        "own": blend.mix_faults(targets={"x": target}, mini=blend.MINI_CAPS),
+        "shares": blend.mix_faults(mix=mix | {"fineweb": 45.0}),
+        "submix": blend.mix_faults(submix=sub | {"conala": 2.0}),
+        "sink": blend.mix_faults(sink="nowhere"),
+        "overlap": blend.mix_faults(submix=sub | {"pg19": 1.0}),
+        "keys": blend.mix_faults(targets={"x": {k: v for k, v in target.items() if k != "epochs"}}),
+        "aliases": blend.mix_faults(targets={"x": target | {"total_tokens": 6, "display_tokens": "6"}}),
+        "mini": blend.mix_faults(mini=blend.MINI_CAPS | {"other": 3}),
+    }
+    return spark.createDataFrame([(k, len(v)) for k, v in cases.items()], "mix string, faults long")
 
 
 # ---- validation
@@ -492,17 +505,6 @@ def pair_source(spark, d):
     return c.select("conv_id", F.col("conversations").alias("chosen"), F.concat(F.slice("conversations", 1, F.size("conversations") - 1), F.array(short)).alias("rejected"))
 
 
-@register()
-def preference_drop_rates(spark, d):
-    return chat.drop_rates(chat.within_length(chat.message_pairs(pair_source(spark, d))))
-
-
-@register()
-def preference_lengths(spark, d):
-    p = chat.message_pairs(pair_source(spark, d)).withColumn("diff", F.length(F.col("chosen")[0]["content"]) - F.length(F.col("rejected")[0]["content"]))
-    return p.groupBy("source").agg(F.round(F.avg("diff"), 6).alias("mean_diff"), F.round(F.count_if(F.col("diff") > 0) / F.count("*"), 6).alias("chosen_longer"))
-
-
 @register(f"""SELECT conv_id, len(t) AS n_turns, md5(t[-1]) AS answer FROM (SELECT conv_id, list_filter(list_transform(regexp_split_to_array(s, '\\n\\nHuman: |\\n\\nAssistant: '), lambda x: {Q.strip('x')}), lambda x: x <> '') AS t FROM (
 SELECT conv_id, string_agg(chr(10) || chr(10) || CASE WHEN role = 'assistant' THEN 'Assistant: ' ELSE 'Human: ' END || text, '' ORDER BY turn) AS s FROM conversations WHERE role <> 'system' GROUP BY conv_id))""")
 def transcript_turns(spark, d):
@@ -691,12 +693,15 @@ def synthetic_arithmetic(spark, d):
 # ---- evaluation
 
 
-@register("SELECT category, count(*) AS cases, count(*) FILTER (n = 0) AS passed FROM (SELECT CASE doc_id % 3 WHEN 0 THEN 'simple_factual' WHEN 1 THEN 'stop_behavior' ELSE 'concept' END AS category, (CASE WHEN NOT contains(lower(text), 'the') THEN 1 ELSE 0 END) + (CASE WHEN contains(lower(text), 'idiot') THEN 1 ELSE 0 END) + (CASE WHEN doc_id % 3 < 2 AND len(" + Q.words("text") + ") > 35 THEN 1 ELSE 0 END) AS n FROM documents) GROUP BY category")
+@register(f"""WITH w AS (SELECT doc_id, unnest(w) AS w, unnest(range(len(w))) AS i FROM (SELECT doc_id, regexp_extract_all(lower(text), '[{T.WORD_CHARS}]+') AS w FROM documents)),
+g AS (SELECT doc_id, w, i - row_number() OVER (PARTITION BY doc_id, w ORDER BY i) AS g FROM w), r AS (SELECT doc_id, max(n) AS run FROM (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id, w, g) GROUP BY doc_id)
+SELECT category, count(*) AS cases, count(*) FILTER (n = 0) AS passed FROM (SELECT CASE doc_id % 3 WHEN 0 THEN 'simple_factual' WHEN 1 THEN 'stop_behavior' ELSE 'concept' END AS category, (CASE WHEN NOT contains(lower(text), 'the') THEN 1 ELSE 0 END)
++ (CASE WHEN contains(lower(text), 'idiot') THEN 1 ELSE 0 END) + (CASE WHEN doc_id % 3 < 2 AND len({Q.words("text")}) > 35 THEN 1 ELSE 0 END) + (CASE WHEN coalesce(run, 0) >= 6 THEN 1 ELSE 0 END) AS n FROM documents LEFT JOIN r USING (doc_id)) GROUP BY category""")
 def behaviour_pass_rate(spark, d):
     docs = docs_of(spark, d)
     category = F.when(F.col("doc_id") % 3 == 0, "simple_factual").when(F.col("doc_id") % 3 == 1, "stop_behavior").otherwise("concept")
     cases = docs.select(F.col("doc_id").alias("id"), category.alias("category"), F.col("text").alias("output"), F.array(F.lit("the")).alias("must_contain"), F.array().cast("array<string>").alias("must_contain_any"), F.array(F.lit("idiot")).alias("must_not_contain"))
-    return stats.pass_rate(stats.behaviour(cases, check_runs=False))
+    return stats.pass_rate(stats.behaviour(cases))
 
 
 @register("SELECT model, round(max(v) FILTER (event_type = 'click'), 6) AS click, round(max(v) FILTER (event_type = 'view'), 6) AS view, round(max(v) FILTER (event_type = 'click') - max(b) FILTER (event_type = 'click'), 6) AS click_delta FROM (SELECT *, max(v) FILTER (model = 'm0') OVER (PARTITION BY event_type) AS b FROM (SELECT 'm' || (user_id % 4) AS model, event_type, avg(value) AS v FROM events GROUP BY 1, 2)) GROUP BY model")
@@ -720,7 +725,14 @@ def curation_funnel(spark, d):
     return curation.funnel(docs_of(spark, d))
 
 
-@register()
+_CURATED = f"""WITH q AS (SELECT doc_id, source, text FROM documents JOIN (SELECT doc_id, reason FROM ({Q.verdict()})) USING (doc_id) WHERE reason IS NULL),
+rest AS (SELECT * FROM q WHERE doc_id IN (SELECT doc_id FROM ({Q.EXACT.replace('FROM documents', 'FROM q')}) WHERE kept)), near AS (SELECT doc_id FROM ({fuzzy_sql('rest')}) WHERE kept),
+own AS (SELECT doc_id, source, length(coalesce(text, ''))::BIGINT AS chars FROM rest WHERE doc_id IN (SELECT doc_id FROM near)),
+chosen AS (SELECT doc_id FROM ({_BLEND.replace(_CHARS, 'SELECT doc_id, source, chars FROM own')}) WHERE kept OR overflow)
+SELECT d.doc_id, d.source, s.split FROM documents d JOIN ({Q.split_sql('chosen', 'doc_id', '42', 0.005, 1)}) s USING (doc_id)"""
+
+
+@register(_CURATED)
 def curated_corpus(spark, d):
     return curation.curate(docs_of(spark, d), aims(spark), "src0").select("doc_id", "source", "split")
 

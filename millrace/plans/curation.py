@@ -13,11 +13,21 @@ from millrace.streaming import curation as streaming
 
 
 def curate(docs: DataFrame, targets: DataFrame, sink: str) -> DataFrame:
-    """Curated documents with their split: quality, exact and near dedup, budget, overflow, exact-size validation split."""
+    """Curated documents with their split: quality, exact and near dedup, budget, overflow, exact-size validation split.
+
+    One pass over the texts filters them and gives their hashes, lengths and signature buckets; all
+    else works on ids. The texts are met again by the ids that are chosen. Ids must be unique.
+    """
     rows = docs.select("doc_id", "source", "text")
-    # Ids and lengths are cut to the shared folder; the texts are read again at the end, not shuffled from step to step.
-    kept = dedup.cut(blend.chars(dedup.dedup(quality.quality_filter(rows))))
-    chosen = blend.split(blend.blend(kept, targets, sink).where("kept or overflow").select("doc_id"))
+    seen = quality.quality_filter(rows)
+    buckets = F.transform(dedup.band_keys(), lambda b: F.xxhash64(F.col("source"), b["band"], b["key"]))
+    chars = F.length(T.text_or_empty("text")).cast("bigint")
+    seen = dedup.cut(seen.select(*dedup.hash_columns(), chars.alias("chars"), buckets.alias("buckets")))
+    first = dedup.cut(dedup.survivors_of(seen.drop("chars", "buckets")).where("kept").select("doc_id"))
+    own = dedup.cut(seen.join(first, "doc_id", "left_semi").select("doc_id", "source", "chars", "skip", "buckets"))
+    found = dedup.clusters(dedup.bucket_edges(own.where("not skip").select("doc_id", F.explode("buckets").alias("bucket"))))
+    kept = own.join(found.where("doc_id <> cluster"), "doc_id", "left_anti").select("doc_id", "source", "chars")
+    chosen = blend.split(blend.blend(dedup.cut(kept), targets, sink).where("kept or overflow").select("doc_id"))
     return rows.join(chosen, "doc_id")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,9 +21,39 @@ def versioned(base: str, target: str, date: str, stage: str = "curated") -> str:
     return f"{base.rstrip('/')}/{target}/{date}/{stage}"
 
 
+def date_path(at: Column) -> Column:
+    """The date part of a versioned path."""
+    return F.date_format(at, "yyyy-MM-dd")
+
+
+def stamp(at: Column) -> Column:
+    """A moment in a file's name, in the session's time zone (UTC)."""
+    return F.date_format(at, "yyyyMMdd'T'HHmmss'Z'")
+
+
+def missing(files: DataFrame, there: DataFrame) -> DataFrame:
+    """Those of files(key, size) that a store does not hold yet with the same size."""
+    return files.join(there.select("key", "size"), ["key", "size"], "left_anti")
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """The SHA-256 of a file that all executors can read: what a tokenizer is known by."""
+    return spark.read.format("binaryFile").load(path).select(F.sha2("content", 256)).first()[0]
+
+
+def manifest_of(df: DataFrame, **named) -> dict:
+    """What a token table's manifest says: documents, tokens, the largest id, its type and format, and what is named."""
+    one = df.agg(F.count("*").alias("n_docs"), F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n_tokens"), F.coalesce(F.max(F.array_max("ids")), F.lit(0)).alias("max_id")).first()
+    return {"n_docs": one["n_docs"], "n_tokens": one["n_tokens"], "max_id": one["max_id"], "dtype": "uint16" if one["max_id"] < 1 << 16 else "uint32", "format_version": FORMAT_VERSION} | named
+
+
+FORMAT_VERSION = 1
+
+
 def tokens(df: DataFrame, path: str, manifest: dict) -> None:
-    """Token arrays as Parquet, and beside them a manifest that names what they were made with."""
+    """Token arrays as Parquet, and beside them a manifest: counts of what was written, and what it was made with."""
     df.write.mode("overwrite").parquet(path)
+    manifest = manifest_of(df.sparkSession.read.parquet(path), **manifest)
     df.sparkSession.createDataFrame([(json.dumps(manifest, sort_keys=True),)], "manifest string").coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}.manifest")
 
 

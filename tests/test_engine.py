@@ -297,3 +297,124 @@ def test_oracles(spark, name):
     rows = sorted(map(repr, (tuple(r[c] for c in sorted(names)) for r in got.collect())))
     order = [names.index(c) for c in sorted(names)]
     assert rows == sorted(map(repr, (tuple(r[i] for i in order) for r in want.fetchall())))
+
+
+# ---- null and repeated ids, uneven orders, guards
+
+
+def test_exact_dedup_with_null_and_repeated_ids(spark):
+    from millrace.operators import dedup
+
+    rows = [(None, "src1", "same text here"), (1, "src1", "same text here"), (2, "src0", "Same text, here!"), (None, "src0", "another one"), (None, "src0", "another one"), (3, "src2", "third"), (3, "src2", "third"), (3, "src2", "fourth"), (4, None, "third")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = sorted(map(tuple, dedup.exact_dedup(docs).collect()), key=str)
+    assert got == sorted([(2, "src0", "Same text, here!"), (None, "src0", "another one"), (3, "src2", "fourth"), (4, None, "third")], key=str)
+    assert dedup.exact_survivors(docs).where("kept").count() == 4 and dedup.exact_survivors(docs).count() == len(rows)
+    assert dedup.exact_dedup(docs.limit(0)).collect() == []
+    assert dedup.fuzzy_survivors(docs).where("kept").count() == len(rows)  # too short for a signature
+
+
+def test_removed_rows_and_kept_ones_make_the_whole(spark):
+    from millrace.operators import dedup
+
+    words = [f"word{i}" for i in range(120)]
+    near = [*words[:119], "other"]
+    rows = [(1, "a", " ".join(words)), (2, "a", " ".join(near)), (3, "b", " ".join(words).upper()), (4, "b", " ".join(words[::-1]))]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = {(r["doc_id"], r["stage"]) for r in dedup.removed(docs).collect()}
+    assert out == {(3, "exact"), (2, "near")}
+    assert sorted(r["doc_id"] for r in dedup.dedup(docs).collect()) == [1, 4]
+
+
+def test_running_sums_of_uneven_ids(spark):
+    import random
+
+    from millrace.operators import blend
+
+    rng = random.Random(1)
+    ids = sorted({int(10 ** rng.uniform(0, 17)) for _ in range(700)})
+    rows = [(i, "ab"[k % 2], rng.randint(0, 9)) for k, i in enumerate(ids)]
+    got = {r["i"]: r["sum"] for r in blend.running(spark.createDataFrame(rows, "i long, k string, v long"), ["k"], "i", "v", "sum").collect()}
+    for key in "ab":
+        total = 0
+        for i, k, v in rows:
+            if k == key:
+                assert got[i] == total
+                total += v
+
+
+def test_split_has_exactly_as_many(spark):
+    from millrace.operators import blend, chat
+
+    for n in (1, 199, 500, 1500):
+        docs = spark.range(n).withColumnRenamed("id", "doc_id")
+        count = lambda df: df.where("split = 'val'").count()
+        assert count(blend.split(docs, fraction=0.05)) == max(1, int(n * 0.05))
+        assert count(blend.split(docs, rule=chat.n_val_code)) == min(max(500, int(n * 0.05)), max(1, n - 1))
+        assert count(blend.split(docs, rule=chat.n_val_chat)) == min(n, max(1000, int(n * 0.02)))
+        assert count(blend.split(docs, rule=chat.n_val_pairs)) == (max(1, int(n * 0.05)) if n < 500 else max(500, int(n * 0.05)))
+
+
+def test_encode_guards_ids_and_manifest_refuses_stale_tokens(spark, tmp_path):
+    from millrace.operators import tokens
+    from millrace.sources import sinks
+
+    docs = spark.createDataFrame([(1, "ab"), (2, None)], "doc_id long, text string")
+    encoder = lambda: lambda texts: [[ord(c) for c in t] for t in texts]
+    out = tokens.encode(docs, encoder)
+    assert {r["doc_id"]: r["ids"] for r in out.collect()} == {1: [2, 97, 98, 3], 2: [2, 3]}
+    with pytest.raises(Exception, match="exceeds 90"):
+        tokens.encode(docs, encoder, max_id=90).collect()
+    vocabulary = tmp_path / "vocabulary.json"
+    vocabulary.write_text("{}")
+    made = sinks.fingerprint(spark, str(vocabulary))
+    sinks.tokens(out, str(tmp_path / "t"), {"tokenizer": made})
+    assert sinks.read_tokens(spark, str(tmp_path / "t"), {"tokenizer": made, "n_docs": 2, "n_tokens": 6, "max_id": 98, "dtype": "uint16"}).count() == 2
+    vocabulary.write_text("{1}")
+    with pytest.raises(ValueError, match="stale"):
+        sinks.read_tokens(spark, str(tmp_path / "t"), {"tokenizer": sinks.fingerprint(spark, str(vocabulary))})
+
+
+def test_texts_of_any_type(spark):
+    from millrace.operators import chat
+
+    df = spark.createDataFrame([("a", ["b", "c"], [("user", "x"), ("assistant", None)]), (None, [], [])], "s string, l array<string>, m array<struct<role:string,content:string>>")
+    assert [tuple(r) for r in df.select(*(chat.text_of(df, c) for c in "slm")).collect()] == [("a", "c", ""), ("", "", "")]
+
+
+def test_interleave_takes_groups_in_turn(spark):
+    from millrace.operators import chat
+
+    df = spark.createDataFrame([(g, i) for g in "ba" for i in range(2)], "g string, i long")
+    got = sorted((r["pos"], r["g"], r["i"]) for r in chat.interleave(df, F.col("g")).collect())
+    assert got == [(0, "a", 0), (1, "b", 0), (2, "a", 1), (3, "b", 1)]
+
+
+def test_language_labels(spark):
+    from millrace.operators import validate
+
+    df = spark.createDataFrame([("en", 0.7), ("en", 0.6), ("de", 0.9), (None, None)], "l string, s double")
+    assert [r[0] for r in df.select(validate.language_ok(F.col("l"), F.col("s"))).collect()] == [True, False, False, True]
+
+
+def test_no_local_scratch_on_a_cluster():
+    from millrace.operators import dedup
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    class Frame:
+        sparkSession = Session()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        dedup.cut(Frame())
