@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm.common import need
+from millrace.llm.common import lean, need
 
 #: The kinds, in the order in which spans of one start are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -126,7 +126,7 @@ def labelled_table(seed: int = 11, rows: int = 700) -> list[tuple[list[str], lis
     def phone() -> list[str]:
         a, b, c = num(3), num(3), num(4)
         return rng.choice((
-            [f"+{num(1)}", f"({a})", f"{b}-{c}"], [f"({a})", f"{b}-{c}"], [f"({a}){b}-{c}"], [f"{a}-{b}-{c}"], [f"{a}.{b}.{c}"],
+            [f"+{num(1)}", f"({a})", f"{b}-{c}"], [f"({a})", f"{b}-{c}"], [f"({a}){b}-{c}"], [f"({a})", f"{b}.{c}"], [f"{a}-{b}-{c}"], [f"{a}.{b}.{c}"],
             [f"+{num(2)}", num(2), num(7)], [f"+{num(2)}", num(3), num(4), num(4)], [f"+{num(11)}"], [f"1-{a}-{b}-{c}"], [f"+{num(1)}-{a}-{b}-{c}"],
         ))
 
@@ -153,7 +153,7 @@ def labelled_table(seed: int = 11, rows: int = 700) -> list[tuple[list[str], lis
             [f"{num(2)}:{num(2)}"], [f"{num(2)}%"], [f"${num(3)}"], [f"{num(2)}-{num(2)}"], [f"@{word()}"], [f"{word()}{num(2)}"], [f"{word()}={num(2)}{word()}{num(3)}{word()}"],
             [f"http://{word()}.com/{num(3)}"], [f"978-{num(1)}-{num(2)}-{num(6)}-{num(1)}"], [f"({num(4)})"], [f"[{num(1)}]"], [f"({num(1)})"], [f"({num(3)})", word()],
             [num(2), num(2), num(3)], [num(4), num(4)], [num(3), num(3)], [f"AK{num(2)}XZ{num(1)}QW"], [word(), "=", num(4)], [word(), "=", f"{num(1)}.{num(2)}"], [word(), "=", f'"{word()}{num(1)}"'],
-            ["commit", key(hexes, 40)], ["commit", key(hexes, 7)], [word(), key(hexes, 40)], ["sha1", key(hexes, 40)], ["md5", key(hexes, 32)], [f"{key(hexes, 8)}-{key(hexes, 4)}-{key(hexes, 4)}-{key(hexes, 4)}-{key(hexes, 12)}"], [f"#{key(hexes, 6)}"], [f"0x{key(hexes, 8)}"],
+            ["commit", key(hexes, 40)], ["commit", key(hexes, 7)], [word(), key(hexes, 40)], ["sha1", key(hexes, 40)], ["md5", key(hexes, 32)], ["isbn", f"978-{num(1)}-{num(4)}-{num(4)}-{num(1)}"], [rng.choice(("id", "uuid", word())), rng.choice(("=", ":")), f"{key(hexes, 8)}-{key(hexes, 4)}-{key(hexes, 4)}-{key(hexes, 4)}-{key(hexes, 12)}"], [f"{key(hexes, 8)}-{key(hexes, 4)}-{key(hexes, 4)}-{key(hexes, 4)}-{key(hexes, 12)}"], [f"#{key(hexes, 6)}"], [f"0x{key(hexes, 8)}"],
         ))
 
     table = []
@@ -535,4 +535,4 @@ def scan(docs: DataFrame, keep: list[str], redact: bool = False, labelled: DataF
     held = docs.sparkSession.sparkContext.broadcast((field.weights, field.moves))
     rows = need(docs, *keep, "text")
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if redact or f.name != "text")
-    return rows.mapInArrow(_scan(held, redact), f"{kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return rows.mapInArrow(lean(_scan(held, redact)), f"{kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
