@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
-from millrace.operators.blend import CHARS_PER_TOKEN, running
+from millrace.operators.blend import CHARS_PER_TOKEN
 from millrace.operators.validate import ends_well
 
 #: Words left out of frequency lists.
@@ -65,12 +65,11 @@ def target_vs_realized(targets: DataFrame, docs: DataFrame) -> DataFrame:
     return out.select("source", F.round(100.0 * F.col("target_chars") / F.sum("target_chars").over(every), 6).alias("target_pct"), F.round(F.coalesce(100.0 * F.col("_n") / F.sum("_n").over(every), F.lit(0.0)), 6).alias("realized_pct"))
 
 
-def top_words(docs: DataFrame, k: int = 15, per_source: int = 500, per_doc: int = 1000) -> DataFrame:
-    """The commonest lower-case words by source, over the first documents and words of each."""
-    first = running(docs.select("doc_id", "source", "text").withColumn("_one", F.lit(1)), ["source"], "doc_id", "_one", "_before").where(F.col("_before") < per_source)
-    every = F.regexp_extract_all(F.lower("text"), F.lit(f"([{T.WORD_CHARS}]+)"), F.lit(1))
-    found = F.slice(F.filter(every, lambda w: w.rlike("^[a-z]{3,}$")), 1, per_doc)
-    n = first.select("source", F.explode(found).alias("word")).where(~F.col("word").isin(*COMMON)).groupBy("source", "word").agg(F.count("*").alias("n"))
+def top_words(docs: DataFrame, k: int = 15) -> DataFrame:
+    """The commonest lower-case words of three letters or more by source, over all words of all documents; ties by word."""
+    every = F.regexp_extract_all(F.lower(T.text_or_empty("text")), F.lit(f"([{T.WORD_CHARS}]+)"), F.lit(1))
+    found = F.filter(every, lambda w: w.rlike("^[a-z]{3,}$"))
+    n = docs.select("source", F.explode(found).alias("word")).where(~F.col("word").isin(*COMMON)).groupBy("source", "word").agg(F.count("*").alias("n"))
     return n.withColumn("rank", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("n"), "word"))).where(F.col("rank") <= k)
 
 
@@ -142,10 +141,16 @@ def resolve_metric(results: Column, names: tuple[str, ...]) -> Column:
     return F.coalesce(*out)
 
 
+#: n-grams of a benchmark that are broadcast at most, 8 bytes each; more are joined by shuffle.
+FEW_GRAMS = 2_000_000
+
+
 def overlap(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
-    """(doc_id, shared): distinct n-grams that a document shares with a benchmark; an extension."""
-    grams = lambda df, *keep: df.select(*keep, F.explode(T.ngrams(T.words(T.normalize(T.text_or_empty("text"))), n)).alias("g"))
+    """(doc_id, shared): distinct n-grams that a document shares with a benchmark, known by 64-bit hashes; an extension."""
+    grams = lambda df, *keep: df.select(*keep, F.explode(F.array_distinct(F.transform(T.ngrams(T.words(T.normalize(T.text_or_empty("text"))), n), lambda g: F.xxhash64(g)))).alias("g"))
     known = grams(benchmark).distinct()
+    if known.count() <= FEW_GRAMS:
+        known = F.broadcast(known)
     return grams(docs, "doc_id").join(known, "g", "left_semi").groupBy("doc_id").agg(F.count_distinct("g").alias("shared"))
 
 

@@ -382,8 +382,7 @@ def target_vs_realized(spark, d):
     return stats.target_vs_realized(aims(spark), capped_docs(spark, d))
 
 
-@register(f"""WITH d AS (SELECT doc_id, source, text FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents) WHERE r <= 500),
-w AS (SELECT source, unnest(list_filter(regexp_extract_all(lower(text), '[{T.WORD_CHARS}]+'), lambda x: regexp_full_match(x, '[a-z]{{3,}}'))[1:1000]) AS word FROM d),
+@register(f"""WITH w AS (SELECT source, unnest(list_filter(regexp_extract_all(lower(text), '[{T.WORD_CHARS}]+'), lambda x: regexp_full_match(x, '[a-z]{{3,}}'))) AS word FROM documents),
 c AS (SELECT source, word, count(*) AS n FROM w WHERE word NOT IN ({", ".join(map(repr, stats.COMMON))}) GROUP BY source, word)
 SELECT source, word, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, word) AS rank FROM c) WHERE rank <= 15""")
 def word_frequency(spark, d):
