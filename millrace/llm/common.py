@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
 import zlib
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +60,31 @@ def forget_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Python is handed so many rows at a time by what is run inside: for rows of many kilobytes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def lean(run):
+    """run(batches), after which the worker, which later tasks use again, gives memory back that it has freed."""
+
+    def whole(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+            trim(0)
+
+    return whole
+
+
 #: A group with more than this share of all rows is dealt by broadcast; there are at most as many as its inverse.
 HOT_SHARE = 0.001
 
