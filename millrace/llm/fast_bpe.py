@@ -18,7 +18,9 @@ import pyarrow as pa
 from millrace.llm import hashing
 
 #: Distinct words that a worker keeps, and words merged together.
-KEPT, BATCH = 250_000, 8192
+KEPT, BATCH = 120_000, 8192
+#: Places of words that are merged together: bounds the scratch memory.
+PLACES = 600_000
 #: Bytes of a word above which it goes through the tokenizer, as merging by arrays looks through it at each merge.
 LONG = 256
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -104,7 +106,7 @@ class Words:
         while at < len(order):
             rows = order[at : at + BATCH]
             most = int(np.searchsorted(length[rows], max(4, int(length[rows[0]]) * 5 // 4), side="right"))
-            rows = rows[: max(1, min(most, 4_000_000 // int(length[rows[max(0, most - 1)]])))]
+            rows = rows[: max(1, min(most, PLACES // int(length[rows[max(0, most - 1)]])))]
             at += len(rows)
             ids, alive = self._merge(raw, begin[rows], length[rows])
             counts[rows] = alive.sum(axis=1)
@@ -128,8 +130,8 @@ class Words:
         if width > 1:
             pair = alive[:, 1:]
             ranks[:, :-1][pair] = self.rank(ids[:, :-1][pair], ids[:, 1:][pair])
-        after = np.where(place + 1 < lengths[:, None], place + 1, -1) + np.zeros((len(begin), 1), dtype=np.int64)
-        before = place - 1 + np.zeros((len(begin), 1), dtype=np.int64)
+        after = np.where(place + 1 < lengths[:, None], place + 1, -1).astype(np.int32)
+        before = (place - 1 + np.zeros((len(begin), 1), dtype=np.int64)).astype(np.int32)
         work = every
         while len(work):
             own = ranks[work]

@@ -8,7 +8,7 @@ import pyarrow as pa
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 #: Bytes hashed at a time; bounds the scratch memory whatever the length of a text.
-SLAB = 1 << 19
+SLAB = 1 << 18
 
 _rng = np.random.RandomState(20240501)
 _VALUE = _rng.randint(1, 1 << 62, 256).astype(np.uint64) | np.uint64(1)

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, need, release
+from millrace.llm.common import cut, lean, need, release
 from millrace.llm.hashing import mix, text_bytes
 
 GRAM, HASHES, TABLE_BITS = 5, 2, 20
@@ -40,7 +40,7 @@ MIN_SHARE = 0.005
 PIECE_BITS = 14
 #: Rows handed on at a time, and bytes of text looked at at a time.
 ROWS = 1000
-SLAB = 1 << 20
+SLAB = 1 << 19
 
 #: Bytes as they count: A-Z as a-z, the rest of ASCII that is no letter as a space, UTF-8 bytes as they are.
 _FOLD = np.full(256, 32, dtype=np.uint8)
@@ -164,7 +164,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     sample = rows.withColumn("rank", rank).join(F.broadcast(chosen), F.col("lang") == F.col("_lang")).where(F.pmod("rank", F.lit(span)) < F.col("below"))
     sample = cut(sample.select("k", "rank", "text").dropDuplicates(["k", "rank"]))
     least = sample.groupBy("k").agg(F.greatest(F.lit(1.0), F.lit(MIN_SHARE) * F.count("*")).alias("least"))
-    codes = sample.select("k", "text").mapInArrow(_gram_rows, "k long, code long").groupBy("k", "code").agg(F.count("*").alias("n"))
+    codes = sample.select("k", "text").mapInArrow(lean(_gram_rows), "k long, code long").groupBy("k", "code").agg(F.count("*").alias("n"))
     codes = codes.join(F.broadcast(least), "k").where("n >= least").select("k", "code")  # a row a language
     bits = codes.mapInArrow(_slot_rows, "slot long, word long, bits long").groupBy("slot", "word").agg(F.bit_or("bits").alias("bits"))
     pieces = bits.withColumn("piece", F.shiftright("slot", PIECE_BITS)).groupBy("piece", "word").applyInPandas(_piece, "piece long, word long, data binary")
@@ -199,7 +199,7 @@ def with_language(docs: DataFrame, model: Model, keep: list[str], text_too: bool
     held = spark.sparkContext.broadcast((model.languages, zlib.compress(model.table.tobytes(), 1), model.table.shape[1]))
     rows = need(docs, *keep, "text")
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if text_too or f.name != "text")
-    return rows.mapInArrow(_predict(held, text_too), f"{kind}, lang_pred string, score double")
+    return rows.mapInArrow(lean(_predict(held, text_too)), f"{kind}, lang_pred string, score double")
 
 
 def predict(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:

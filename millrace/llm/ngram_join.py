@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import hashing
-from millrace.llm.common import cut, forget_shuffles, join_groups, need, number_filter, release, runs_of_rows, unpacked
+from millrace.llm.common import cut, forget_shuffles, join_groups, lean, need, number_filter, release, runs_of_rows, small_batches, unpacked
 from millrace.llm.graph import components
 
 #: log2 of the number of hashed counters, and of the counters in a piece of the table.
@@ -48,6 +48,8 @@ HOT_LEVEL = 48
 LIST, BLOCK = 64, 256
 #: Further rounds of stars at most, and pairs a row up to which those that are left are formed without another.
 MORE_STARS, FEW_A_ROW = 1, 8
+#: Rows of whole sets that Python is handed at a time.
+PAIR_ROWS = 500
 #: Linked texts whose components are broadcast at most, 16 bytes each; more are joined by shuffle.
 FEW_NODES = 500_000
 #: Pairs that are broadcast at most, 24 bytes a side; more are joined by shuffle.
@@ -400,12 +402,12 @@ class _Join:
 
     def survey(self) -> DataFrame:
         text = need(self.docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("print"), "text")
-        return cut(text.mapInArrow(_survey(self.size), "doc_id long, print long, n long, key long, piece int, counts binary"))
+        return cut(text.mapInArrow(lean(_survey(self.size)), "doc_id long, print long, n long, key long, piece int, counts binary"))
 
     def lists(self, levels) -> DataFrame:
-        rows = need(self.docs, "text").mapInArrow(_postings(levels, self.size, self.t), "token long, salt int, key long, place long")
+        rows = need(self.docs, "text").mapInArrow(lean(_postings(levels, self.size, self.t)), "token long, salt int, key long, place long")
         rows = rows.repartition(self.parts, "token", "salt").sortWithinPartitions("token", "salt", _class("place"), _at("place"), "place", "key")
-        return cut(rows.mapInArrow(_shared_lists, "token long, salt int, key long, place long, centre long, centre_place long"))
+        return cut(rows.mapInArrow(lean(_shared_lists), "token long, salt int, key long, place long, centre long, centre_place long"))
 
     def made_of(self, keys: DataFrame, survey: DataFrame, made, blobs: int = 1) -> DataFrame:
         """(key, blob0, ...) of the sets named by keys(key), made(set) each, read once more from its document of the smallest id.
@@ -418,7 +420,7 @@ class _Join:
         held, bits = number_filter(keys.unionByName(least.select(F.col("doc_id").alias("key"))), 2 * keys.count())
         release(keys)
         rows = need(self.docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        return cut(rows.mapInArrow(_sets(held, bits, self.size, made), "key long" + "".join(f", blob{i} binary" for i in range(blobs))))
+        return cut(rows.mapInArrow(lean(_sets(held, bits, self.size, made)), "key long" + "".join(f", blob{i} binary" for i in range(blobs))))
 
     def paired(self, pairs: DataFrame, n: int, blobs: DataFrame, blob: str, kind, test) -> tuple[DataFrame, int]:
         """(a, b) of those n distinct pairs(a, b) whose blobs pass the test, and how many they are."""
@@ -426,7 +428,8 @@ class _Join:
         if n <= FEW_PAIRS:  # so that the blobs stay where they are
             sides = F.broadcast(sides)
         both = sides.join(blobs, "key").select("a", "b", "side", blob).repartition(self.parts, "a", "b").sortWithinPartitions("a", "b", "side")
-        out = cut(both.mapInArrow(_by_pair(kind, test), "src long, dst long").select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct())
+        with small_batches(self.spark, PAIR_ROWS):
+            out = cut(both.mapInArrow(lean(_by_pair(kind, test)), "src long, dst long").select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct())
         return out, out.count()
 
     def links(self, pairs: DataFrame, bitmaps: DataFrame, levels, survey: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, need
+from millrace.llm.common import cut, lean, need
 from millrace.llm.fast_bpe import words_of
 
 CAPACITY = 4096
@@ -201,9 +201,9 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, group:
     """One row a piece of docs(doc_id, text): doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset; its ids if asked for."""
     rows = need(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     kind = ", ".join(f"{c} long" for c in _NAMES) + ", ids array<int>" * with_ids + ", tokens binary"
-    first = cut(rows.mapInArrow(_pack(tokenizer_path, capacity, group, with_ids), kind))
+    first = cut(rows.mapInArrow(lean(_pack(tokenizer_path, capacity, group, with_ids)), kind))
     rests = first.where("sequence_id < 0")
     tokens = rests.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
     rests = rests.repartition(max(1, -(-tokens // (RESTS * capacity))), F.xxhash64("doc_id", "start", "doc_tokens", "tokens"))
-    second = rests.mapInArrow(_pack_rests(capacity, group, with_ids), kind)
+    second = rests.mapInArrow(lean(_pack_rests(capacity, group, with_ids)), kind)
     return first.where("sequence_id >= 0").unionByName(second).drop("tokens")

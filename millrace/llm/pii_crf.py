@@ -187,7 +187,7 @@ RUNS = 16
 #: Times that a feature is in the labelled table at least, to have weights.
 LEAST_TIMES = 3
 #: Words and features that are kept, and the length of a word up to which they are.
-KEPT, SHORT = 50_000, 64
+KEPT, SHORT = 5_000, 64
 
 
 def is_plain(word: str) -> bool:
@@ -239,7 +239,14 @@ def _shape(word: str) -> tuple[str, ...]:
     )
 
 
-_kept_shape = lru_cache(maxsize=KEPT)(_shape)
+@lru_cache(maxsize=KEPT)
+def _kept_shape(word: str) -> tuple[str, ...]:
+    return _shape(word)
+
+
+def _forget() -> None:
+    """Gives back what a task has kept; workers are used again by other tasks."""
+    _kept_shape.cache_clear()
 
 
 class Field:
@@ -517,6 +524,7 @@ def _scan(held, redact: bool):
                 columns.append(pa.array([hashlib.sha256(written(b).encode()).hexdigest() for b, _ in found], pa.string()))
                 columns.append(pa.array([written(s) for _, s in found], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[: -1 if not redact else None], *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+        _forget()
 
     return run
 

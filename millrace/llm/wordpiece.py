@@ -24,7 +24,7 @@ from millrace.llm.common import need
 #: Fixed value: the mark of a word's start.
 MARK = "▁"
 #: Distinct words whose counts a worker keeps.
-KEPT = 1_000_000
+KEPT = 250_000
 
 
 class Automaton:
