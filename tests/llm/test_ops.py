@@ -251,6 +251,19 @@ def test_mix_near_targets_and_ceiling(frame, spark):
     assert mixing.mix(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_mix_by_regions_and_rows_without_ids(frame, monkeypatch):
+    from millrace.llm import mixing
+
+    monkeypatch.setattr(mixing, "REGIONS", 3)
+    rows = [(None if i % 2 else i, prose(i, 20 + i % 30), "en", "ab"[i % 2], 0) for i in range(300)] + [(5, prose(900 + i, 25), "en", "c", 0) for i in range(60)]
+    out = mixing.place(frame(rows), shard=400).toPandas()
+    assert len(out) == len(rows) and (out.taken <= 3 * out["size"]).all()
+    by = out.groupby("s").agg(target=("target", "first"), taken=("taken", "sum"), shards=("shard", "nunique"), most=("n_shards", "first"))
+    assert (by.shards >= 3).all() and (by.shards <= by.most).all()
+    assert ((by.taken - by.target).abs() <= 0.02 * by.target + 16 * by.shards).all()
+    assert out[out.doc_id.isna()].groupby("shard").size().max() < 60
+
+
 def test_sainte_lague_highest_quotients(spark):
     from millrace.llm import mixing
 
@@ -727,7 +740,7 @@ def test_second_passage_further_on(first, between, second):
     place = dict(zip(g.tolist(), y.tolist(), strict=True))
     both = [(i, place[c]) for c, i in zip(h.tolist(), x.tolist(), strict=True) if c in place]
     at, other_at = (np.array(v) for v in zip(*both, strict=True))
-    batch = pa.RecordBatch.from_arrays([pa.array(v) for v in (np.full(len(at), 2), np.ones(len(at), np.int64), at, other_at)], names=["doc", "other", "at", "other_at"])
+    batch = pa.RecordBatch.from_arrays([pa.array(v) for v in (np.full(len(at), 2), np.ones(len(at), np.int64), at, other_at, at)], names=["doc", "other", "at", "other_at", "seed"])
     held = set()
     for part in S._chain_rows([batch]):
         for xs, ys in zip(part["xs"].to_pylist(), part["ys"].to_pylist(), strict=True):
@@ -773,7 +786,7 @@ def chained_passages(a, b):
     if len(both) < 2:
         return []
     at, other_at = (np.array(v) for v in zip(*both, strict=True))
-    batch = pa.RecordBatch.from_arrays([pa.array(v) for v in (np.full(len(at), 2), np.ones(len(at), np.int64), at, other_at)], names=["doc", "other", "at", "other_at"])
+    batch = pa.RecordBatch.from_arrays([pa.array(v) for v in (np.full(len(at), 2), np.ones(len(at), np.int64), at, other_at, at)], names=["doc", "other", "at", "other_at", "seed"])
     out = []
     for part in S._chain_rows([batch]):
         for xs, ys in zip(part["xs"].to_pylist(), part["ys"].to_pylist(), strict=True):
@@ -875,3 +888,58 @@ def test_pipeline_stages(spark, tmp_path):
             assert "[EMAIL]" in row["text"] and "@" not in row["text"] and row["n_chars"] == len(row["text"])
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in rows} <= set(ids) and len(rows) >= len(set(ids))
+
+
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    a, b, c = prose(1, 80), prose(2, 80), prose(3, 80)
+    rows = [(4, a, "en", "s1", 1), (2, a + " more", "en", "s1", 2), (None, a, "en", "s0", 3), (7, b, "en", "s1", 4), (7, b, "en", "s0", 4), (None, c, "en", "s2", 5), (None, c, "de", "s2", 5), (9, None, None, None, None), (9, None, None, None, None), (10, "", "en", "s", 0), (11, "x", "en", "s", 1), (12, "x", "en", "s", 1), (7, c[:200], "en", "s", 6)]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, DOCS), "").collect()
+    ids = sorted(((r["doc_id"], (r["text"] or "")[:5], r["source"]) for r in out), key=str)
+    # Of a: the least id. Of b: one row, of the least source. Of c: rows without an id. Empty texts are no copies of each other.
+    want = [(2, a[:5], "s1"), (7, b[:5], "s0"), (9, "", None), (10, "", "s"), (11, "x", "s"), (7, c[:5], "s")]
+    assert [x for x in ids if x[0] is not None] == sorted(want, key=str)
+    assert len([x for x in ids if x[0] is None]) == 1
+
+
+def test_near_duplicate_filter_tells_all_marked_rows(spark, monkeypatch):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(corpus_pipeline, "MOST_BITS", 15)
+    rows = spark.range(5000).select(F.col("id").alias("_id"), (F.col("id") * 7 - 9000).alias("_print"))
+    marked = rows.where("_id % 9 = 0")
+    sure, maybe = corpus_pipeline._doubtful(rows, marked)
+    assert sure.count() + maybe.count() == 5000 and maybe.count() < 1500
+    assert sure.where("_id % 9 = 0").count() == 0
+
+
+def test_mix_stage_copies_by_the_allocation(spark):
+    import corpus_pipeline
+    from collections import Counter
+
+    from millrace.llm import mixing
+
+    rows = [(i, prose(i, 20), "en", "abc"[min(2, i % 12)], 0) for i in range(1800)] + [(9000, "", "en", "a", 0), (9001, None, "en", None, None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = Counter(r["doc_id"] for r in corpus_pipeline.mix_sources(spark, docs, "").collect())
+    assert out[9000] == 1 and out[9001] == 1 and max(out.values()) <= 3
+    aims = {r["s"]: r for r in mixing.allocate(mixing.measure(docs, 7), (5, 2, 1), 3, mixing.BLOCK).collect()}
+    for source in "abc":
+        words = sum(20 * out[r[0]] for r in rows if r[3] == source)
+        assert abs(words - aims[source]["target"]) <= 0.12 * aims[source]["target"] + 200
+
+
+def test_pipeline_stages_on_empty_tables_and_clashing_columns(spark, tmp_path):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    empty = spark.createDataFrame([], DOCS)
+    full = spark.createDataFrame(rows_of([prose(i, 60) for i in range(30)]), DOCS)
+    for c in ("_id", "_print", "_copy", "_hash", "copies", "key", "comp", "k", "rank", "_lang", "_s", "size", "score", "lang_pred", "spans"):
+        full = full.withColumn(c, F.lit("clash"))
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, "").collect() == [], name
+        out = stage(spark, full, "")
+        assert out.count() >= 10 and (name == "packing" or out.columns == empty.columns), name
