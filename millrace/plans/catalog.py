@@ -206,7 +206,8 @@ def blend_stats(spark, d):
     return blend.blend_stats(blend.blend(capped_docs(spark, d), aims(spark), "src0"))
 
 
-@register()
+@register("""SELECT '{"total_documents":' || sum(docs)::BIGINT || ',"source_mix":{' || string_agg('"' || source || '":{"docs":' || docs || ',"chars":' || chars || ',"target_chars":' || target_chars || ',"deficit":' || deficit
+|| ',"overflow_docs":' || overflow_docs || ',"overflow_chars":' || overflow_chars || '}', ',' ORDER BY source) || '}}' AS stats FROM (""" + ORACLES["blend_stats"] + ")")
 def blend_stats_json(spark, d):
     return blend.stats_json(blend.blend_stats(blend.blend(capped_docs(spark, d), aims(spark), "src0")))
 
@@ -519,13 +520,6 @@ def arithmetic_problems(spark, d):
     return chat.arithmetic_problems(spark).groupBy("op").agg(F.count("*").alias("n"), F.sum("answer").alias("total"), F.min("prompt").alias("first_prompt"))
 
 
-@register()
-def response_control(spark, d):
-    kinds = {"factual_restraint": 280, "ai_concept": 300, "concise_answer": 100, "simple_factual": 300}
-    base = spark.createDataFrame([(k, i, f"{k} question {i}?", f"answer {i}.") for k, n in kinds.items() for i in range(n)], "kind string, i long, prompt string, answer string")
-    return chat.response_mix(base, tuple(kinds), {"factual_restraint": 900, "ai_concept": 800, "concise_answer": 400, "simple_factual": 300}, 5000)
-
-
 @register("SELECT copy, count(*) AS n FROM (SELECT item_id FROM benchmark), range(1, 21) r(copy) GROUP BY copy")
 def replicated(spark, d):
     return chat.replicate(table(spark, d, "benchmark").select("item_id")).groupBy("copy").agg(F.count("*").alias("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import blend, chat, stats, tokens, validate
+from millrace.operators import blend, chat, response_tables, stats, tokens, validate
 from millrace.plans import catalog as C
 from millrace.plans import sql as Q
 from millrace.sources import sinks
@@ -136,3 +136,39 @@ def learning_rates(spark, d):
 @register("SELECT p_partkey AS part, (1 << floor(log2(greatest(1, least(greatest(0, floor((p_retailprice - 100) / (p_size + 1))), 64))))::INT)::BIGINT AS micro FROM part")
 def micro_batches(spark, d):
     return table(spark, d, "part").select(F.col("p_partkey").alias("part"), stats.micro_batch(F.col("p_retailprice"), F.lit(100), F.col("p_size") + 1, F.lit(64)).alias("micro"))
+
+
+# ---- handwritten rows
+
+
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_R = response_tables
+_QUESTIONS = ", ".join(
+    [f"('{kind}', 0, {n}, {_quoted(q)}, [{_quoted(a)}])" for kind, own in (("simple_factual", _R.FACTS), ("ai_concept", _R.CONCEPTS), ("concise_answer", _R.CONCISE)) for n, (q, a) in enumerate(own)]
+    + [f"('factual_restraint', 0, {n}, {_quoted(q)}, [{', '.join(map(_quoted, _R.RESTRAINED))}])" for n, q in enumerate(_R.PRIVATE)]
+    + [f"('factual_restraint', 1, {n}, {_quoted(q)}, [{_quoted(a)}])" for n, (q, a) in enumerate(_R.UNSURE)]
+)
+_TEMPLATES = ", ".join(f"('{kind}', {k}, {_quoted(t)})" for kind, own in _R.TEMPLATES.items() for k, t in enumerate(own))
+_BASE = f"""SELECT kind, row_number() OVER (PARTITION BY kind ORDER BY part, n, k) - 1 AS i, replace(template, '{{q}}', q) AS prompt, answers[(n + k) % len(answers) + 1] AS answer
+FROM (VALUES {_QUESTIONS}) a(kind, part, n, q, answers) JOIN (VALUES {_TEMPLATES}) t(kind, k, template) USING (kind) WHERE part = 0 OR k < {_R.UNSURE_TEMPLATES}"""
+
+
+@register(_BASE)
+def response_base(spark, d):
+    return response_tables.base(spark)
+
+
+_RANKS = "(VALUES " + ", ".join(f"('{k}', {r}, {_R.TARGETS[k]})" for r, k in enumerate(_R.ORDER)) + ") r(kind, k, target)"
+_PREFIX = "CASE v % 5 " + " ".join(f"WHEN {j} THEN {_quoted(p)}" for j, p in enumerate(chat.VARIANTS.values())) + " END"
+_NAME = "CASE v % 5 " + " ".join(f"WHEN {j} THEN {_quoted(n)}" for j, n in enumerate(chat.VARIANTS)) + " END"
+
+
+@register(f"""WITH b AS ({_BASE}), s AS (SELECT kind, k, target, count(*) AS size FROM b JOIN {_RANKS} USING (kind) GROUP BY ALL), have AS (SELECT sum(size)::BIGINT AS have FROM s),
+first AS (SELECT row_number() OVER (ORDER BY i >= target, CASE WHEN i >= target THEN 0 ELSE k END, i, k) - 1 AS pos, kind, prompt, answer, NULL AS variant FROM b JOIN {_RANKS} USING (kind)),
+v AS (SELECT v, have FROM have, range(5000) t(v) WHERE v < 5000 - have)
+SELECT * FROM first WHERE pos < 5000 UNION ALL SELECT have + v, s.kind, {_PREFIX} || prompt, answer, {_NAME} FROM v JOIN s ON v % 4 = s.k JOIN b ON b.kind = s.kind AND b.i = (have + 2 * v) % size""")
+def response_control(spark, d):
+    return response_tables.response_control(spark)
