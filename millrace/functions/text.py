@@ -18,12 +18,16 @@ def text_or_empty(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+#: The characters of SPACE one by one, for trimming without a regular expression.
+SPACES = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, f"{SPACE}+$", "")
+    return F.rtrim(c, F.lit(SPACES))
 
 
 def words(c: Column) -> Column:

@@ -56,6 +56,15 @@ def _in(names: tuple[str, ...]) -> Column:
     return F.coalesce(F.col("source").isin(*names), F.lit(False)) if names else F.lit(False)
 
 
+def _may_be_boilerplate() -> Column:
+    """A word that each phrase has, or a letter that folds to one of ASCII by upper case alone."""
+    low = F.lower("_text")
+    out = F.contains("_text", F.lit("ſ"))
+    for word in ("cookie", "privacy", "terms", "reserved", "newsletter", "javascript", "click here"):
+        out = out | F.contains(low, F.lit(word))
+    return out
+
+
 def features(docs: DataFrame, keep_text: bool = False, c: QualityConfig | None = None) -> DataFrame:
     """The numbers that the rules test, as columns. A null text counts as empty."""
     c = c or QualityConfig()
@@ -73,9 +82,9 @@ def features(docs: DataFrame, keep_text: bool = False, c: QualityConfig | None =
         (n_lines - F.size(F.array_distinct("_lines"))).alias("n_repeated"),
         F.length(F.array_join("_words", "")).alias("word_chars"),
         F.regexp_count("_text", F.lit(SYMBOLS)).alias("n_symbols"),
-        F.regexp_count("_text", F.lit(r"\p{L}")).alias("n_alpha"),
-        F.regexp_count("_text", F.lit(f"(?iu){'|'.join(BOILERPLATE)}")).alias("n_boilerplate"),
-        F.size(F.array_intersect(F.slice(F.transform("_words", F.lower), 1, c.stop_word_tokens), stop)).alias("n_stop"),
+        (F.length("_text") - F.length(F.regexp_replace("_text", r"\p{L}+", ""))).alias("n_alpha"),
+        F.when(_may_be_boilerplate(), F.regexp_count("_text", F.lit(f"(?iu){'|'.join(BOILERPLATE)}"))).otherwise(0).alias("n_boilerplate"),
+        F.size(F.array_intersect(F.transform(F.slice("_words", 1, c.stop_word_tokens), F.lower), stop)).alias("n_stop"),
     )
 
 
