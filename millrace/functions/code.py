@@ -24,6 +24,7 @@ CODE_STARTS = (
     "def ", "class ", "import ", "from ", "function ", "const ", "let ", "var ", "public ", "private ", "protected ", "#include", "using ", "package ",
     "func ", "fn ", "struct ", "enum ", "interface ", "#!/", "mv ", "cp ", "kubectl ", "minikube ",
 )
+#: Patterns of code, of fenced blocks, and of prompts; further phrases and kinds.
 SYNTAX = r"\w+\s*=\s*[^=]|\w+\([^)]*\)|[{};]|==|!=|<=|>=|->|=>|\[[^\]]+\]"
 FENCE = r"(?s)```(?:[a-zA-Z0-9_+\-.#]+)?\s*\n(.*?)```"
 BODY_PROMPT = r"(?s)\b(complete|implement|fill in|write)\b.{0,120}\b(function|method)\b.{0,120}\bbody\b"
