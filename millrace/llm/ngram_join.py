@@ -48,8 +48,8 @@ HOT_LEVEL = 48
 LIST, BLOCK = 64, 256
 #: Further rounds of stars at most, and pairs a row up to which those that are left are formed without another.
 MORE_STARS, FEW_A_ROW = 1, 8
-#: Rows of whole sets that Python is handed at a time.
-PAIR_ROWS = 500
+#: Rows of texts, and of pairs' sets, that Python is handed at a time.
+TEXT_ROWS, PAIR_ROWS = 1000, 500
 #: Linked texts whose components are broadcast at most, 16 bytes each; more are joined by shuffle.
 FEW_NODES = 500_000
 #: Pairs that are broadcast at most, 24 bytes a side; more are joined by shuffle.
@@ -573,7 +573,8 @@ def groups_of(docs: DataFrame, size: int = 5, numerator: int = 75, denominator:
     print: hash of the text. first_id, first_print: the least row of the component, by id (null ids
     last), then print; both null where the document has no shingles.
     """
-    texts, _, comp = links(docs, size, numerator, denominator)
+    with small_batches(docs.sparkSession, TEXT_ROWS):
+        texts, _, comp = links(docs, size, numerator, denominator)
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")
     # Copies of one text first, on the map side; then by component over distinct texts.
     by_key = texts.where("n > 0").groupBy("key").agg(F.min(own).alias("first"), F.count("*").alias("m")).join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
