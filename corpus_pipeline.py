@@ -87,7 +87,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or leaves out documents by the mix's quotas: see mixing.copies. Texts without a word stay once."""
+    """Repeats or leaves out whole documents by the quotas of the mix's shards, at even steps: see mixing.copies. Texts without a word stay once."""
     out = mixing.copies(need(docs, *COLUMNS)).where("copies > 0")
     return out.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select(*COLUMNS)
 

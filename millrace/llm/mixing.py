@@ -94,9 +94,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), ceiling: int = 3,
 
 def measure(docs: DataFrame, seed: int) -> DataFrame:
     """(doc_id, source, size, at): what the mix needs of each document; at, 32 hex digits, is its seeded place."""
+    size, at = _measures(seed)
+    return need(docs, "doc_id", "source", "text").select("doc_id", "source", size.alias("size"), at.alias("at"))
+
+
+def _measures(seed: int) -> tuple[Column, Column]:
     text = F.col("text")
     at = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")))))
-    return need(docs, "doc_id", "source", "text").select("doc_id", "source", word_count(text).alias("size"), at.alias("at"))
+    return word_count(text), at
 
 
 def allocate(measured: DataFrame, weights, ceiling: int, block: int) -> DataFrame:
@@ -107,47 +112,83 @@ def allocate(measured: DataFrame, weights, ceiling: int, block: int) -> DataFram
     return cut(aims.select(F.col("source").alias("s"), "source_size", "target", "blocks"))
 
 
-def copies(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), ceiling: int = 3, seed: int = 7, block: int = BLOCK) -> DataFrame:
+def copies(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), ceiling: int = 3, seed: int = 7, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """docs with `copies`: how many times the mix holds each document, in whole documents.
 
-    A source's blocks, by Sainte-Lague, are so many rounds of its words. Each document comes as often
-    as there are whole rounds, and once more where a draw by the hash of its id and text is below
-    what is left over. Texts without a word, which no block can hold, come once. Only the allocation,
-    a row a source, meets the documents; no text is shuffled.
+    Blocks are allocated to sources, regions and shards as in mix(). A shard's line is of whole
+    documents here, by size and in seeded order among equal ones. Each comes as often as the shard's
+    quota has whole rounds of its words, and what is left over is taken at even steps of documents
+    from a seeded start: as neighbours are of about one size, a shard's words come within its longest
+    document of its quota, and long and short documents are taken alike. Texts without a word, which
+    no block can hold, come once. Texts are shuffled once, to their shards.
     """
-    aims = allocate(measure(docs, seed), weights, ceiling, block)
-    rounds = F.when(F.col("source_size") > 0, F.least(F.lit(float(ceiling)), F.col("blocks") * block / F.col("source_size"))).otherwise(F.lit(1.0))
-    aims = aims.select(F.col("s").alias("_s"), rounds.alias("_rounds"))
-    if aims.count() <= FEW_SOURCES:
-        aims = F.broadcast(aims)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    draw = F.pmod(F.xxhash64(F.lit(f"copies{seed}"), F.col("doc_id"), text), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    whole = F.floor("_rounds")
-    n = F.when(~text.rlike(WORD_PATTERN), F.lit(1)).otherwise(whole + F.when(draw < F.col("_rounds") - whole, 1).otherwise(0))
+    measured = cut(measure(docs, seed))
+    aims = _with_shards(allocate(measured, weights, ceiling, block), shard)
+    few = aims.count() <= FEW_SOURCES
+    rows = _dealt(measured, aims, few)
+    words, rounds = _rounds(block, ceiling)
+    shards = _quotas(rows.groupBy("s", "shard").agg(F.sum("size").alias("length"), F.count_if(F.col("size") == 0).alias("blank"), F.first("blocks").alias("blocks")))
+    shards = shards.withColumn("rounds", rounds.cast("long")).withColumn("rest", (words - F.col("rounds") * F.col("length")).cast("long"))
+    shards = cut(shards.select(F.col("s").alias("_s2"), F.col("shard").alias("_shard2"), "length", "blank", "rounds", "rest", _start(seed, F.greatest(F.col("length"), F.lit(1))).alias("begin")))
     given = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.join(aims, F.col("source").eqNullSafe(F.col("_s"))).select(*given, n.cast("int").alias("copies"))
+    size, at = _measures(seed)
+    own = docs.select(F.struct(*given).alias("_row"), F.col("source"), size.alias("size"), at.alias("at"))
+    line = Window.partitionBy("s", "shard").orderBy("size", "at", F.xxhash64("_row"))
+    own = _dealt(own, aims, few).withColumn("_rank", F.row_number().over(line))
+    own = own.select("_row", "s", "shard", "size", "_rank").join(shards, F.col("s").eqNullSafe(F.col("_s2")) & (F.col("shard") == F.col("_shard2")))
 
+    def passed(i: Column) -> Column:
+        return F.floor((i * F.col("rest") + F.col("begin")) / F.col("length"))
 
-def place(docs: DataFrame, weights=(5, 2, 1), ceiling=3, seed=7, block=BLOCK, shard=SHARD) -> DataFrame:
-    measured = cut(measure(docs, seed))  # one pass over the texts; from here on a few numbers a document
-    aims = allocate(measured, weights, ceiling, block).withColumn("n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard)).cast("long"))
-    rows = measured.join(F.broadcast(aims) if aims.count() <= FEW_SOURCES else aims, F.col("source").eqNullSafe(F.col("s")))
-    number = F.conv(F.substring("at", 1, 8), 16, 10).cast("long")
-    rows = rows.withColumn("shard", F.pmod(number, F.col("n_shards")))
-    line = Window.partitionBy("s", "shard").orderBy("at", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("start", F.coalesce(F.sum("size").over(line), F.lit(0)))
-    shards = rows.groupBy("s", "shard").agg(F.sum("size").alias("length"), F.first("blocks").alias("blocks"))
+    i = F.col("_rank") - F.col("blank") - 1  # documents without a word come first on the line, and do not count
+    n = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("rounds") + passed(i + 1) - passed(i))
+    return own.select("_row.*", n.cast("int").alias("copies"))
+
+
+def _with_shards(aims: DataFrame, shard: int) -> DataFrame:
+    return aims.withColumn("n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard)).cast("long"))
+
+
+def _dealt(rows: DataFrame, aims: DataFrame, few: bool) -> DataFrame:
+    """rows(source, at, ...) with what aims has of their source, and `shard`."""
+    rows = rows.join(F.broadcast(aims) if few else aims, F.col("source").eqNullSafe(F.col("s")))
+    return rows.withColumn("shard", F.pmod(F.conv(F.substring("at", 1, 8), 16, 10).cast("long"), F.col("n_shards")))
+
+
+def _quotas(shards: DataFrame) -> DataFrame:
+    """shards(s, shard, length, blocks, ...) with `quota`, blocks by way of regions."""
     shards = shards.withColumn("region", F.col("shard") % REGIONS)
     regions = shards.groupBy("s", "region").agg(F.sum("length").alias("length"), F.first("blocks").alias("blocks"))
     regions = sainte_lague(regions, ["s"], ["region"], "length", "blocks", "seats").select(F.col("s").alias("s3"), F.col("region").alias("region3"), "seats")
     shards = shards.join(regions, F.col("s").eqNullSafe(F.col("s3")) & (F.col("region") == F.col("region3"))).drop("s3", "region3")
-    shards = sainte_lague(shards, ["s", "region"], ["shard"], "length", "seats", "quota")
+    return sainte_lague(shards, ["s", "region"], ["shard"], "length", "seats", "quota")
+
+
+def _rounds(block: int, ceiling: int) -> tuple[Column, Column]:
+    """Words that a shard's quota takes, and whole rounds of its line in them."""
     # The line of a shard has whole blocks and a shorter last one; a quota counts full blocks' words.
     words = F.least(F.col("quota") * block, ceiling * F.col("length"))
+    return words, F.when(F.col("length") > 0, F.floor(words / F.col("length"))).otherwise(F.lit(0))
+
+
+def _start(seed: int, n: Column) -> Column:
+    """The seeded start of a shard, below n."""
+    return F.pmod(F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"start{seed}"), F.coalesce("s", F.lit("")), F.col("shard").cast("string"))), 1, 8), 16, 10).cast("long"), n)
+
+
+def place(docs: DataFrame, weights=(5, 2, 1), ceiling=3, seed=7, block=BLOCK, shard=SHARD) -> DataFrame:
+    measured = cut(measure(docs, seed))  # one pass over the texts; from here on a few numbers a document
+    aims = _with_shards(allocate(measured, weights, ceiling, block), shard)
+    rows = _dealt(measured, aims, aims.count() <= FEW_SOURCES)
+    line = Window.partitionBy("s", "shard").orderBy("at", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("start", F.coalesce(F.sum("size").over(line), F.lit(0)))
+    shards = rows.groupBy("s", "shard").agg(F.sum("size").alias("length"), F.first("blocks").alias("blocks"))
+    shards = _quotas(shards)
+    words, rounds = _rounds(block, ceiling)
     n_blocks = F.ceil(F.col("length") / block)
     rounds = F.when(F.col("length") > 0, F.floor(words / F.col("length"))).otherwise(F.lit(0))
     extra = F.when(F.col("length") > 0, F.least(n_blocks, F.round((words - rounds * F.col("length")) / block))).otherwise(F.lit(0)).cast("long")
-    begin = F.when(n_blocks > 0, F.pmod(F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"start{seed}"), F.coalesce("s", F.lit("")), F.col("shard").cast("string"))), 1, 8), 16, 10).cast("long"), n_blocks)).otherwise(F.lit(0))
+    begin = F.when(n_blocks > 0, _start(seed, n_blocks)).otherwise(F.lit(0))
     shards = shards.select(F.col("s").alias("s2"), F.col("shard").alias("shard2"), rounds.cast("long").alias("rounds"), extra.alias("extra"), n_blocks.cast("long").alias("n_blocks"), begin.cast("long").alias("begin"))
     rows = rows.join(shards, F.col("s").eqNullSafe(F.col("s2")) & (F.col("shard") == F.col("shard2")))
     end = F.col("start") + F.col("size")

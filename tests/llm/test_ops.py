@@ -931,6 +931,29 @@ def test_mix_stage_copies_by_the_allocation(spark):
         assert abs(words - aims[source]["target"]) <= 0.12 * aims[source]["target"] + 200
 
 
+def test_mix_stage_meets_the_quotas_of_shards(spark):
+    from collections import defaultdict
+
+    from millrace.llm import mixing
+
+    rows = [(i if i % 50 else None, prose(i, 5 + 7 * i % 300), "en", [None, "b", "c"][min(2, i % 12)], 0) for i in range(1500)] + [(7000, "same text here", "en", "c", 0)] * 40
+    docs = spark.createDataFrame(rows, DOCS)
+    out = [sorted(map(repr, mixing.copies(d, shard=20_000).collect())) for d in (docs, docs.repartition(3))]
+    assert len(out[0]) == len(rows) and out[0] == out[1]
+    placed = mixing.place(docs, shard=20_000).collect()
+    quota, longest, held, words = defaultdict(int), defaultdict(int), defaultdict(int), {}
+    for r in placed:
+        quota[r["s"], r["shard"]] += r["taken"]
+        longest[r["s"], r["shard"]] = max(longest[r["s"], r["shard"]], r["size"])
+    for r in mixing.measure(docs, 7).join(mixing.place(docs, shard=20_000).select("at", "s", "shard").distinct(), "at").select("at", "size", "s", "shard").distinct().collect():
+        words[r["at"]] = r
+    for r in mixing.measure(mixing.copies(docs, shard=20_000).where("copies > 0").selectExpr("*", "explode(sequence(1, copies)) AS again"), 7).collect():
+        held[words[r["at"]]["s"], words[r["at"]]["shard"]] += r["size"]
+    assert len(quota) > 8
+    for key, n in quota.items():
+        assert abs(held[key] - n) <= longest[key] + 2 * mixing.BLOCK, key
+
+
 def test_pipeline_stages_on_empty_tables_and_clashing_columns(spark, tmp_path):
     import corpus_pipeline
     from pyspark.sql import functions as F
