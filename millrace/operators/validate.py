@@ -72,10 +72,14 @@ def unigram_perplexity(docs: DataFrame, prefix: int = 2000, sample: DataFrame |
 
 
 def repetition(docs: DataFrame) -> DataFrame:
-    """(doc_id, and the measures of the repetition filter): duplicate lines and paragraphs by count and characters, top n-gram characters."""
+    """(doc_id, and the measures of the repetition filter): duplicate lines and paragraphs by count and characters, top n-gram characters.
+
+    A text's n-grams are sorted and counted where it is read. Rows of one id are one document to the
+    n-grams; only those of ids met more than once are grouped by shuffle. Rows without an id have none.
+    """
     text = T.text_or_empty("text")
     lines, paras = T.lines(text), F.filter(F.transform(F.split(text, "\n\n+"), T.strip), lambda x: x != "")
-    df = docs.select("doc_id", text.alias("t"), lines.alias("lines"), paras.alias("paras"), T.words(text).alias("w"))
+    df = docs.select("doc_id", text.alias("t"), lines.alias("lines"), paras.alias("paras"))
 
     def chars(a: Column) -> Column:
         return F.length(F.array_join(a, ""))
@@ -86,11 +90,47 @@ def repetition(docs: DataFrame) -> DataFrame:
 
     line, line_chars = dup("lines")
     para, para_chars = dup("paras")
-    df = df.select("doc_id", F.length("t").alias("len"), line.alias("dup_line"), line_chars.alias("dup_line_char"), para.alias("dup_para"), para_chars.alias("dup_para_char"), "w")
+    most = T.let(T.words(F.col("t")), lambda w: F.struct(*(_most_repeated(w, n).alias(f"top_{n}") for n, _ in TOP_NGRAMS)))
+    df = df.select("doc_id", F.length("t").alias("len"), line.alias("dup_line"), line_chars.alias("dup_line_char"), para.alias("dup_para"), para_chars.alias("dup_para_char"), most.alias("most"))
+    own = (F.when(F.col("doc_id").isNotNull(), F.col(f"most.top_{n}") / F.nullif(F.col("len"), F.lit(0))).alias(f"top_{n}") for n, _ in TOP_NGRAMS)
+    df = df.select("doc_id", "dup_line", "dup_line_char", "dup_para", "dup_para_char", *own)
+    again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    n_again = again.count()
+    if n_again:
+        if n_again <= FEW_IDS:
+            again = F.broadcast(again)
+        together = _top_of_ids(docs.join(again, "doc_id", "left_semi"))
+        names = [f"top_{n}" for n, _ in TOP_NGRAMS]
+        together = together.select("doc_id", F.struct(*names).alias("all"))
+        df = df.join(F.broadcast(together) if n_again <= FEW_IDS else together, "doc_id", "left")
+        df = df.select(*(c for c in df.columns if c not in (*names, "all")), *(F.coalesce(F.col(f"all.{c}"), F.col(c)).alias(c) for c in names))
+    return df.na.fill(0.0, [c for c in df.columns if c != "doc_id"])
+
+
+#: Ids met more than once that are broadcast at most.
+FEW_IDS = 100_000
+
+
+def _most_repeated(w: Column, n: int) -> Column:
+    """The most characters that one n-gram of the words w takes, of those met twice or more; 0 if there is none."""
+    start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+    def step(s: Column, g: Column) -> Column:
+        run = F.when(s["last"] == g, s["run"] + 1).otherwise(F.lit(1))
+        best = F.when(s["last"] == g, F.greatest(s["best"], F.length(g) * (s["run"] + 1))).otherwise(s["best"])
+        return F.struct(g.alias("last"), run.alias("run"), best.alias("best"))
+
+    return F.aggregate(F.sort_array(T.ngrams(w, n)), start, step, lambda s: s["best"])
+
+
+def _top_of_ids(docs: DataFrame) -> DataFrame:
+    """(doc_id, top_2, top_3, top_4) of all rows of an id together, by the longest of its texts."""
+    text = T.text_or_empty("text")
+    df = docs.select("doc_id", F.length(text).alias("len"), T.words(text).alias("w"))
     grams = df.select("doc_id", "len", F.explode(F.array(*(F.struct(F.lit(n).alias("n"), T.ngrams(F.col("w"), n).alias("g")) for n, _ in TOP_NGRAMS))).alias("x"))
     grams = grams.select("doc_id", "len", "x.n", F.explode("x.g").alias("g")).groupBy("doc_id", "n", "g").agg(F.count("*").alias("k"), F.max("len").alias("len"))
-    top = grams.where("k > 1").groupBy("doc_id").agg(*(F.max(F.when(F.col("n") == n, F.length("g") * F.col("k") / F.nullif(F.col("len"), F.lit(0)))).alias(f"top_{n}") for n, _ in TOP_NGRAMS))
-    return df.drop("w", "len").join(top, "doc_id", "left").na.fill(0.0)
+    # Every id has a row, so that what its rows have by themselves does not count.
+    return grams.groupBy("doc_id").agg(*(F.coalesce(F.max(F.when((F.col("k") > 1) & (F.col("n") == n), F.length("g") * F.col("k") / F.nullif(F.col("len"), F.lit(0)))), F.lit(0.0)).alias(f"top_{n}") for n, _ in TOP_NGRAMS))
 
 
 def repetition_reason() -> Column:

@@ -418,3 +418,33 @@ def test_no_local_scratch_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         dedup.cut(Frame())
+
+
+def test_repetition_without_a_shuffle_of_ngrams(spark, monkeypatch):
+    import itertools
+    from collections import Counter
+
+    from millrace.operators import validate
+
+    texts = ["", None, "a", "a b", "a b a b a b", "one two three one two three four", "x " * 200, "é 日本 é 日本 é", "a b c d e f"]
+    rows = [*enumerate(texts), (None, "a b a b"), (50, "p q r"), (50, "p q r s"), (51, "a b a b"), (51, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def top(of: list, n: int) -> float:
+        counts = Counter(" ".join(w[i : i + n]) for w in (t.split() for t in of) for i in range(len(w) - n + 1))
+        most = {}
+        for t in of:
+            for w in [t.split()]:
+                for i in range(len(w) - n + 1):
+                    g = " ".join(w[i : i + n])
+                    most[g] = max(most.get(g, 0), len(t))
+        return max((len(g) * k / most[g] for g, k in counts.items() if k > 1), default=0.0)
+
+    for few in (validate.FEW_IDS, 0):
+        monkeypatch.setattr(validate, "FEW_IDS", few)
+        got = sorted((repr(r["doc_id"]), *(round(r[f"top_{n}"], 9) for n in (2, 3, 4))) for r in validate.repetition(docs).collect())
+        by_id = {i: [t or "" for j, t in rows if j == i] for i, _ in rows}
+        want = sorted((repr(i), *(0.0 if i is None else round(top(by_id[i], n), 9) for n in (2, 3, 4))) for i, _ in rows)
+        assert got == want
+    single = validate.repetition(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert "Exchange" not in single._jdf.queryExecution().executedPlan().toString()
