@@ -653,6 +653,47 @@ def test_passage_with_partial_holders(frame):
     assert any(r["start_word"] <= 50 and r["end_word"] >= 170 for r in rows)
 
 
+def test_passage_whose_seeds_have_scattered_first_holders():
+    from millrace.llm import substring as S
+
+    rng = np.random.default_rng(600)
+    shared = rng.integers(1, 1 << 60, 60).astype(np.uint64)
+
+    def within(words):
+        return np.concatenate([rng.integers(1, 1 << 60, 30).astype(np.uint64), words, rng.integers(1, 1 << 60, 30).astype(np.uint64)])
+
+    # Pieces too short for a chain hold every seed of the passage, and come before its two whole holders.
+    docs = {k: within(shared[4 * k : 4 * k + 12]) for k in range(13)} | {100: within(shared), 101: within(shared)}
+    rows = sorted((int(h), 0, d, int(p)) for d, w in docs.items() for h, p in zip(S.seeds(w)[0].view(np.int64), S.seeds(w)[1], strict=True))
+    none = pa.nulls(len(rows), pa.int64())
+    batch = pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in zip(*rows, strict=True)), none, none], names=["seed", "part", "doc", "at", "other", "other_at"])
+    matches = sorted((r["doc"], r["other"], r["at"], r["other_at"], r["seed"]) for b in S._of_lists([batch]) for r in b.to_pylist())
+    chained = S._chain_rows([pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*matches, strict=True)], names=["doc", "other", "at", "other_at", "seed"])])
+    assert (101, 100) in {(r["doc"], r["other"]) for b in chained for r in b.to_pylist()}
+
+
+def test_pairs_of_lists_in_any_batches():
+    from millrace.llm import substring as S
+
+    rng = random.Random(9)
+    for _ in range(60):
+        lists = {s: sorted((rng.randint(1, 12), rng.randint(0, 99)) for _ in range(rng.choice([1, 2, 3, 15, 16, 17, 40]))) for s in range(rng.randint(1, 8))}
+        rows = [(s, 0, d, p, None, None) for s, own in lists.items() for d, p in own]
+        rows.insert(rng.randint(0, len(rows)), (99, 5, 7, 1, 3, 2))
+        rows.sort(key=lambda r: r[:4])
+        want = [(99, 7, 3, 1, 2)]
+        for s, own in lists.items():
+            want += [(s, d, own[0][0], p, own[0][1]) for d, p in own if d != own[0][0]] if len(own) > S.FEW else [(s, d, e, p, q) for d, p in own for e, q in own if d > e]
+        batches, k = [], 0
+        while k < len(rows):
+            n = rng.randint(1, 20)
+            columns = list(zip(*rows[k : k + n], strict=True))
+            batches.append(pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(columns)], names=["seed", "part", "doc", "at", "other", "other_at"]))
+            k += n
+        got = [tuple(r.values()) for b in S._of_lists(batches) for r in b.to_pylist()]
+        assert sorted(got) == sorted(want)
+
+
 def test_passages_of_repeated_ids(frame):
     from millrace.llm import substring
 
