@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import langid, mixing, ngram_join, packing, pii_crf
-from millrace.llm.common import cut, documents, forget_shuffles, need, shared_dir
+from millrace.llm.common import cut, documents, forget_shuffles, need, shared_dir, shrink_heaps
 from millrace.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -43,6 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = need(docs, *COLUMNS).withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), content)).withColumn("_print", F.xxhash64("text"))
     groups = cut(ngram_join.groups_of(rows.select(F.col("_id").alias("doc_id"), "text")).select("doc_id", "print", "first_id", "first_print"))
     forget_shuffles(spark)
+    shrink_heaps(spark)
     gone = groups.where("first_id is not null and (doc_id <> first_id or print <> first_print)").select(F.col("doc_id").alias("_id"), F.col("print").alias("_print")).distinct()
     twice = groups.groupBy(F.col("doc_id").alias("_id"), F.col("print").alias("_print")).agg(F.count("*").alias("n")).where("n > 1").select("_id", "_print")
     gone, twice = cut(gone), cut(twice)
@@ -101,11 +102,12 @@ BATCH_ROWS = 1000
 
 
 def _staged(stage):
-    """The stage, with batches of BATCH_ROWS for all that the session runs from then on."""
+    """The stage, with batches of BATCH_ROWS for all that the session runs from then on, after the heaps that the one before grew are given back."""
 
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        shrink_heaps(spark)
         return stage(spark, docs, sf_dir)
 
     return run_stage

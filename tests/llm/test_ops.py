@@ -1007,3 +1007,16 @@ def test_pipeline_stages_on_empty_tables_and_clashing_columns(spark, tmp_path):
         assert stage(spark, empty, "").collect() == [], name
         out = stage(spark, full, "")
         assert out.count() >= 10 and (name == "packing" or out.columns == empty.columns), name
+
+
+def test_pipeline_stages_begin_with_heaps_given_back(spark):
+    import corpus_pipeline
+
+    def collections():
+        beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans if b.getName() in ("G1 Old Generation", "MarkSweepCompact", "PS MarkSweep"))
+
+    docs = spark.createDataFrame(rows_of([prose(1, 40)]), DOCS)
+    before = collections()
+    dict(corpus_pipeline.STAGES)["personal_data"](spark, docs, "")  # no job of its own
+    assert collections() > before
