@@ -54,6 +54,8 @@ TEXT_ROWS, PAIR_ROWS = 1000, 500
 FEW_NODES = 500_000
 #: Pairs that are broadcast at most, 24 bytes a side; more are joined by shuffle.
 FEW_PAIRS = 100_000
+#: Pairs that one task compares at least, where there are as many: tasks cost more than the pairs of a small table.
+PAIRS_A_TASK = 200
 #: The further global orders: an odd multiplier that orders hashes of one level, and the half that comes first.
 FURTHER_ORDERS = ((0xA0761D6478BD642F, 0), (0xE7037ED1A0B428DB, 1))
 
@@ -306,7 +308,7 @@ def meets(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _by_pair(kind, test):
-    """Of rows (a, b, side, blob) sorted by them, the pairs whose two blobs, arrays of that kind, pass the test."""
+    """Of rows (a, b, side, blob) sorted by them, the pairs whose two blobs, arrays of that kind, pass the test; each once, also where blobs come twice."""
 
     def read(blob):
         return np.frombuffer(blob.as_py(), dtype=kind)
@@ -409,13 +411,18 @@ class _Join:
         rows = rows.repartition(self.parts, "token", "salt").sortWithinPartitions("token", "salt", _class("place"), _at("place"), "place", "key")
         return cut(rows.mapInArrow(lean(_shared_lists), "token long, salt int, key long, place long, centre long, centre_place long"))
 
-    def made_of(self, keys: DataFrame, survey: DataFrame, made, blobs: int = 1) -> DataFrame:
+    def tasks(self, pairs: int) -> int:
+        return min(self.parts, max(6, pairs // PAIRS_A_TASK))
+
+    def made_of(self, keys: DataFrame, survey: DataFrame, made, blobs: int = 1, most: int | None = None) -> DataFrame:
         """(key, blob0, ...) of the sets named by keys(key), made(set) each, read once more from its document of the smallest id.
 
-        A filter of the keys and of those ids says which documents to give out. It is sized by the
+        A filter of the distinct keys and of those ids says which documents to give out. It is sized by the
         number of keys up to a limit; false hits may give other sets, or one twice, which does no harm.
+        most: pairs that the keys are of, if known.
         """
-        keys = cut(keys.distinct())
+        keys = keys.distinct()
+        keys = cut(keys if most is None else keys.coalesce(self.tasks(most)))
         least = survey.where("n > 0 and doc_id is not null").join(keys, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
         held, bits = number_filter(keys.unionByName(least.select(F.col("doc_id").alias("key"))), 2 * keys.count())
         release(keys)
@@ -427,9 +434,9 @@ class _Join:
         sides = pairs.select("a", "b", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("key")), F.struct(F.lit(1).alias("side"), F.col("b").alias("key")))).alias("s")).select("a", "b", "s.side", "s.key")
         if n <= FEW_PAIRS:  # so that the blobs stay where they are
             sides = F.broadcast(sides)
-        both = sides.join(blobs, "key").select("a", "b", "side", blob).repartition(self.parts, "a", "b").sortWithinPartitions("a", "b", "side")
+        both = sides.join(blobs, "key").select("a", "b", "side", blob).repartition(self.parts, "a", "b").coalesce(self.tasks(n)).sortWithinPartitions("a", "b", "side")
         with small_batches(self.spark, PAIR_ROWS):
-            out = cut(both.mapInArrow(lean(_by_pair(kind, test)), "src long, dst long").select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct())
+            out = cut(both.mapInArrow(lean(_by_pair(kind, test)), "src long, dst long").select(F.col("src").alias("a"), F.col("dst").alias("b")))
         return out, out.count()
 
     def links(self, pairs: DataFrame, bitmaps: DataFrame, levels, survey: DataFrame) -> DataFrame:
@@ -440,10 +447,11 @@ class _Join:
         if n:
             prefixes = _prefixes(levels, self.t)
             # One reading of the texts gives prefixes and sets; the sets' column is read for what the prefixes leave.
-            blobs = self.made_of(passed.select(F.explode(F.array("a", "b")).alias("key")), survey, lambda own: (prefixes(own), own.tobytes()), 2)
+            blobs = self.made_of(passed.select(F.explode(F.array("a", "b")).alias("key")), survey, lambda own: (prefixes(own), own.tobytes()), 2, n)
             for blob, kind, test in (("blob0", np.uint32, _share_prefixes), ("blob1", np.uint64, _links(self.t))):
-                old, (passed, n) = passed, self.paired(passed, n, blobs, blob, kind, test)
-                release(old)
+                if n:
+                    old, (passed, n) = passed, self.paired(passed, n, blobs, blob, kind, test)
+                    release(old)
             release(blobs)
         forget_shuffles(self.spark)
         return passed.select(F.col("a").alias("src"), F.col("b").alias("dst"))

@@ -79,6 +79,33 @@ def test_ngram_join_long_lists_in_blocks(frame, monkeypatch, few):
     assert sorted(map(tuple, ngram_join.near_duplicate_groups(frame(rows)).collect())) == brute_components(rows)
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+def test_components_by_rounds_and_by_the_driver(spark, monkeypatch, few):
+    from millrace.llm import graph
+
+    monkeypatch.setattr(graph, "FEW_EDGES", few, raising=False)
+    rounds = []
+    monkeypatch.setattr(graph, "cut", lambda df, f=graph.cut: rounds.append(1) or f(df))
+    rng = random.Random(8)
+    edges = [(k, k + 1) for k in range(-60, 0)] + [(k, k) for k in (500, 501)] + [(rng.randint(1, 200), rng.randint(1, 200)) for _ in range(120)] * 2
+    near: dict = {}
+    for a, b in edges:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    want = {}
+    for top in sorted(near):
+        todo = [top]
+        while todo:
+            if (k := todo.pop()) not in want:
+                want[k] = top
+                todo += near[k]
+    out = graph.components(spark.createDataFrame(edges, "src long, dst long")).collect()
+    assert sorted(map(tuple, out)) == sorted(want.items())
+    assert bool(rounds) == (few == 0)  # a small table takes none
+    assert graph.components(spark.createDataFrame([], "src long, dst long")).collect() == []
+
+
 def test_ngram_join_null_and_repeated_ids(frame):
     from millrace.llm import ngram_join
 
