@@ -649,6 +649,29 @@ def test_token_counts_whole_texts(frame, spark):
 # ---- 10: passages
 
 
+def test_cut_leaves_no_shuffle_files(spark):
+    """A plan that is still referred to, as the driver's collector has not met it, must not keep them."""
+    import time
+
+    from millrace.llm.common import cut
+
+    held = lambda: {f.getName() for f in map(spark._jvm.java.io.File, paths()) if f.getName().startswith("shuffle_")}
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def paths():
+        found = manager.getAllFiles()
+        return [found.apply(i).getPath() for i in range(found.size())]
+
+    before = held()
+    df = spark.range(1000).repartition(5, "id")
+    out = cut(df)
+    for _ in range(20):
+        if not (left := held() - before):
+            break
+        time.sleep(0.1)
+    assert not left and out.count() == 1000
+
+
 def test_passages_exact_and_fuzzy(frame, spark):
     from millrace.llm import substring
 
